@@ -423,10 +423,10 @@ def oracle_sql() -> dict[str, str]:
         "scatter_points": statement([*UP_TO_SCORED,
             sampled("scored", "trading_signal", 5000, "s5000"), sampled("scored", "trading_signal", 3000, "s3000"), sampled("scored", "trading_signal", 2000, "s2000")],
             f"""SELECT 'signal_vs_confidence' AS chart, id, {r6('primary_signal')} AS primary_signal, {r6('confidence_score')} AS confidence_score,
-              total_engagement, NULL::DOUBLE AS log_engagement, NULL::VARCHAR AS timestamp FROM s5000
+              total_engagement::DOUBLE AS total_engagement, NULL::DOUBLE AS log_engagement, NULL::VARCHAR AS timestamp FROM s5000
             UNION ALL SELECT 'engagement_vs_signal', id, {r6('primary_signal')}, NULL, NULL, {r6('ln(1e0 + total_engagement)')}, NULL FROM s3000
             UNION ALL SELECT 'signal_over_time', id, {r6('primary_signal')}, NULL, NULL, NULL, {at('timestamp')} FROM s2000
-            UNION ALL SELECT 'sentiment_vs_engagement', id, {r6('primary_signal')}, {r6('confidence_score')}, total_engagement, NULL, NULL FROM s2000"""),
+            UNION ALL SELECT 'sentiment_vs_engagement', id, {r6('primary_signal')}, {r6('confidence_score')}, total_engagement::DOUBLE, NULL, NULL FROM s2000"""),
         "drop_null_rows": statement([POSTS, FLAWED], "SELECT id, length(content)::INTEGER AS content_length FROM flawed WHERE content IS NOT NULL"),
         "fill_defaults": per_post("likes AS favorite_count, replies AS reply_count"),
         "empty_guard": "SELECT unnest(['scored', 'hourly', 'summary', 'statistics', 'histogram']) AS stage, 0::BIGINT AS rows",

@@ -95,7 +95,7 @@ def per_text(fn: Callable[[Column], dict[str, Column]]) -> Query:
 
 def landed(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> str:
     path = new_path(spark, name)
-    df.write.format(fmt).save(path)
+    df.write.options(**schema.TIME_OPTIONS).format(fmt).save(path)
     return path
 
 
@@ -209,8 +209,8 @@ def export_formats(spark: SparkSession, tables: str) -> DataFrame:
             read = read.withColumns({n: F.array_join(n, ",") for n in ("hashtags", "mentions")})
         back.append(read.select(
             F.lit(fmt).alias("format"), "id", "username",
-            F.md5("content").alias("content_md5"), "likes", "hashtags",
-            F.coalesce("mentions", F.lit("")).alias("mentions"),
+            F.md5("content").alias("content_md5"), "likes",
+            *[F.coalesce(n, F.lit("")).alias(n) for n in ("hashtags", "mentions")],
         ))
     return dedup.union_sources(back)
 
@@ -275,7 +275,7 @@ def length_columns(spark: SparkSession, tables: str) -> DataFrame:
 def scatter_points(spark: SparkSession, tables: str) -> DataFrame:
     posts = stage(scored(spark, tables).select(
         "id", "timestamp", "trading_signal", "primary_signal", "confidence_score",
-        "total_engagement",
+        c("total_engagement").cast("double").alias("total_engagement"),
     ), "scatter")
     clouds = {
         "signal_vs_confidence": charts.signal_vs_confidence(posts),

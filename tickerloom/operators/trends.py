@@ -59,8 +59,8 @@ def fill_gaps(series: DataFrame, every: timedelta = HOUR) -> DataFrame:
     """
     step = F.make_dt_interval(secs=F.lit(int(every.total_seconds())))
     following = F.lead("bucket").over(Window.orderBy("bucket"))
-    last = F.coalesce(following - step, F.col("bucket"))
-    spanned = series.withColumn("_slot", F.explode(F.sequence(F.col("bucket"), last, step)))
+    spans = series.withColumn("_last", F.coalesce(following - step, F.col("bucket")))
+    spanned = spans.withColumn("_slot", F.explode(F.sequence(F.col("bucket"), F.col("_last"), step)))
     real = F.col("_slot") == F.col("bucket")
     values = []
     for name in series.columns:

@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+# Text formats default to milliseconds, which would change hashes and order.
+TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 POST = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("feed_pos", T.LongType()),

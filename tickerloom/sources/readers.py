@@ -21,7 +21,7 @@ def read_posts(
     columns: T.StructType = schema.POST,
 ) -> DataFrame:
     """Landed posts of the given sources. The filter is pushed to the scan."""
-    posts = spark.read.schema(columns).format(fmt).load(path)
+    posts = spark.read.schema(columns).options(**schema.TIME_OPTIONS).format(fmt).load(path)
     return posts if sources is None else posts.filter(F.col("hashtag_source").isin(sources))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom import lexicon as lx
+from tickerloom.schema import TIME_OPTIONS
 
 # Texts hold quotes, line breaks and outer blanks; all of them must survive.
 CSV_OPTIONS = {
@@ -49,7 +50,7 @@ def narrow_types(df: DataFrame) -> DataFrame:
 
 
 def save_json(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**TIME_OPTIONS).json(path)
     return path
 
 
@@ -65,6 +66,7 @@ def export(df: DataFrame, path: str, fmt: str) -> str:
         options = CSV_OPTIONS
     else:
         options = {}
+    options = {**options, **TIME_OPTIONS}
     writer.write.mode("overwrite").options(**options).format(fmt).save(path)
     return path
 

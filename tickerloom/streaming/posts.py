@@ -105,12 +105,14 @@ def merge_batches(path: str) -> Callable[[DataFrame, int], None]:
 
     Version n holds the state after batch n. It is written from version n - 1
     alone, so a batch that is run again after a failure gives the same version.
+    The first batch is merged with nothing, since it may hold copies as well.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         existing = load_parquet(spark, f"{path}/version={number - 1}") if number else None
-        merged = dedup.merge_keep_last(existing, dedup.with_content_hash(batch))
+        hashed = dedup.with_content_hash(batch)
+        merged = dedup.merge_keep_last(hashed.limit(0) if existing is None else existing, hashed)
         merged.write.mode("overwrite").parquet(f"{path}/version={number}")
 
     return step
