@@ -359,7 +359,7 @@ def attach_global_stats(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def vocab_match(spark: SparkSession, tables: str) -> DataFrame:
     prepared = stage(tf.with_terms(cleaned(spark, tables)).select("id", "terms", "text_eligible"), "terms")
-    vocabulary = tf.build_vocabulary(tf.term_counts(prepared))
+    vocabulary = tf.build_vocabulary(tf.frequent_terms(tf.term_counts(prepared)))
     matched = tf.vocab_match(prepared, vocabulary)
     return matched.groupBy("id").agg(
         F.count(F.lit(1)).alias("matches"), F.count_distinct("term").alias("terms")
@@ -637,7 +637,7 @@ def lexicon_match(spark: SparkSession, tables: str) -> DataFrame:
     """How many posts hold each market term as a whole word."""
     terms = spark.createDataFrame([(t,) for t in lx.MARKET_TERMS], "term string")
     words = cleaned(spark, tables).select(
-        F.explode(F.array_distinct(tx.tokens(c("content_cleaned")))).alias("term")
+        F.explode_outer(F.array_distinct(tx.tokens(c("content_cleaned")))).alias("term")
     )
     matched = words.join(F.broadcast(terms), "term", "left_semi")
     return matched.groupBy("term").agg(F.count(F.lit(1)).alias("posts"))
@@ -833,7 +833,7 @@ def tokenize_terms(spark: SparkSession, tables: str) -> DataFrame:
 
 @query
 def build_vocabulary(spark: SparkSession, tables: str) -> DataFrame:
-    return tf.build_vocabulary(tf.term_counts(prepared_terms(spark, tables)))
+    return tf.build_vocabulary(tf.frequent_terms(tf.term_counts(prepared_terms(spark, tables))))
 
 
 def term_vectors(spark: SparkSession, tables: str) -> tuple[DataFrame, tf.TermModel]:
@@ -862,7 +862,7 @@ def market_attention(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def min_corpus_guard(spark: SparkSession, tables: str) -> DataFrame:
     """Texts, vocabulary size and cluster count that decide which stages run."""
-    counts = tf.term_counts(prepared_terms(spark, tables))
+    counts = tf.frequent_terms(tf.term_counts(prepared_terms(spark, tables)))
     vocabulary = tf.build_vocabulary(counts)
     texts = F.max("texts")
     return vocabulary.agg(

@@ -85,7 +85,9 @@ def term_frequency(
     """
     texts = posts.select("content_cleaned").dropna()
     pattern = F.lit(lx.WORD + "(?:" + lx.WORD + "|')*")
-    words = texts.select(F.explode(F.regexp_extract_all("content_cleaned", pattern, 0)).alias("w"))
+    # "outer": a plain explode filters on the list's size first and so extracts twice.
+    found = F.explode_outer(F.regexp_extract_all("content_cleaned", pattern, F.lit(0)))
+    words = texts.select(found.alias("w"))
     bare = words.select(F.regexp_replace("w", "'s$", "").alias("term"))
     useful = bare.filter(
         (F.col("term") != "") & ~F.col("term").rlike(r"^\p{Nd}+$") & ~F.col("term").isin(stop_words)

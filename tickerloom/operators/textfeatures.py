@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -76,29 +78,38 @@ def with_terms(
 def term_counts(prepared: DataFrame) -> DataFrame:
     """Corpus and document counts per term, in one pass.
 
-    Each text emits its terms (for the corpus count), its distinct terms (for
-    the document count) and one row under the empty term, whose document count
-    is the number of texts. Partial counts shrink all of that to distinct terms
-    per task before the shuffle, so a term in every text is no hot key.
+    Each text emits its terms in sorted order, the first of equal ones marked:
+    all rows make the corpus count, the marked ones the document count. One
+    more row under the empty term counts the texts. Partial counts shrink this
+    to distinct terms per task before the shuffle, so a term in every text is
+    no hot key.
     """
+    with_count_key = F.when(
+        F.col("text_eligible"), F.array_prepend("terms", F.lit(TEXT_COUNT_KEY))
+    ).otherwise(F.col("terms"))
+    ordered = prepared.select(F.sort_array(with_count_key).alias("ordered"))
+
+    def entry(term: Column, place: Column) -> Column:
+        first = (place == 0) | (F.get(F.col("ordered"), place - 1) != term)
+        return F.struct(term.alias("term"), first.cast("bigint").alias("first"))
+
+    # "outer", because a plain generator would first filter on the size of its
+    # list, and so work through every text a second time.
+    rows = ordered.select(F.inline_outer(F.transform("ordered", entry)))
+    counts = rows.groupBy("term").agg(
+        F.count(F.lit(1)).alias("corpus_count"), F.sum("first").alias("doc_count")
+    )
+    return counts.filter(F.col("term").isNotNull())
 
-    def entry(term: Column, corpus: int, docs: int) -> Column:
-        return F.struct(
-            term.alias("term"),
-            F.lit(corpus).cast("bigint").alias("corpus"),
-            F.lit(docs).cast("bigint").alias("docs"),
-        )
 
-    marker = F.array(entry(F.lit(TEXT_COUNT_KEY), 0, 1))
-    emitted = F.concat(
-        F.when(F.col("text_eligible"), marker).otherwise(F.slice(marker, 1, 0)),
-        F.transform(F.col("terms"), lambda t: entry(t, 1, 0)),
-        F.transform(F.array_distinct("terms"), lambda t: entry(t, 0, 1)),
-    )
-    rows = prepared.select(F.inline(emitted))
-    return rows.groupBy("term").agg(
-        F.sum("corpus").alias("corpus_count"), F.sum("docs").alias("doc_count")
-    )
+def frequent_terms(counts: DataFrame, min_docs: int = lx.MIN_DOC_COUNT) -> DataFrame:
+    """The counts a vocabulary can come from, staged.
+
+    The vocabulary reads them twice (number of texts, then terms); unstaged,
+    each read would tokenise the corpus again.
+    """
+    kept = counts.filter((F.col("doc_count") >= min_docs) | (F.col("term") == TEXT_COUNT_KEY))
+    return stage(kept, "counts")
 
 
 def build_vocabulary(
@@ -146,7 +157,7 @@ class TermModel:
 
 def fit_terms(prepared: DataFrame, max_terms: int = lx.MAX_TERMS) -> TermModel:
     """Collects the vocabulary: at most ``max_terms`` rows."""
-    vocabulary = build_vocabulary(term_counts(prepared), max_terms)
+    vocabulary = build_vocabulary(frequent_terms(term_counts(prepared)), max_terms)
     rows = vocabulary.select("term", idf(F.col("doc_count"), F.col("texts")).alias("idf"), "texts")
     kept = rows.collect()
     return TermModel([r.term for r in kept], [r.idf for r in kept], kept[0].texts if kept else 0)
@@ -190,7 +201,7 @@ def term_weights(with_features: DataFrame, model: TermModel) -> DataFrame:
 
 def vocab_match(prepared: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Terms of each text that are in the vocabulary (at most ``max_terms`` rows)."""
-    terms = prepared.select("id", F.explode("terms").alias("term"))
+    terms = prepared.select("id", F.explode_outer("terms").alias("term"))
     return terms.join(F.broadcast(vocabulary.select("term")), "term")
 
 
@@ -297,14 +308,24 @@ def fit_clusters(
     k: int,
     restarts: int = lx.CLUSTER_RESTARTS,
     seed: int = lx.SAMPLE_SEED,
+    parallelism: int = 4,
 ) -> KMeansModel:
-    """Best of several k-means runs by training cost."""
-    runs = [
-        KMeans(k=k, seed=seed + i, featuresCol="_vector", predictionCol="topic_cluster").fit(
-            with_vectors
-        )
-        for i in range(restarts)
-    ]
+    """Best of several k-means runs by training cost, a few runs at a time.
+
+    The input is cached once for all runs; each would otherwise cache its own.
+    """
+
+    def fit(run_seed: int) -> KMeansModel:
+        means = KMeans(k=k, seed=run_seed, featuresCol="_vector", predictionCol="topic_cluster")
+        return means.fit(cached)
+
+    in_session = inheritable_thread_target(with_vectors.sparkSession)
+    cached = with_vectors.select("_vector").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPool(min(parallelism, restarts)) as pool:
+            runs = pool.map(in_session(fit), range(seed, seed + restarts))
+    finally:
+        cached.unpersist()
     return min(runs, key=lambda model: model.summary.trainingCost)
 
 
