@@ -18,16 +18,11 @@ HEADLINES = [
     "clean_and_process",
     "dedup_first",
     "collect_posts",
-    "data_statistics",
     "market_summary",
-    "top_influential",
-    "signal_histogram",
-    "correlation_matrix",
     "rolling_sentiment",
     "term_frequency",
     "build_vocabulary",
     "tfidf_momentum",
-    "full_signals",
     "stream_hourly",
 ]
 

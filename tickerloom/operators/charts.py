@@ -120,23 +120,30 @@ def correlation_matrix(
     """Pearson r of every pair as (a, b, r); None with fewer than 3 columns.
 
     One aggregate holds the upper triangle; the mirrored half and the diagonal
-    are laid out from that single row. r is null for a constant column.
+    are laid out from that single row. r is null for a constant column, for
+    which the built-in correlation would divide by zero; the regression
+    aggregates do not.
     """
     present = [c for c in columns if c in posts.columns]
     if len(present) < 3:
         return None
     pairs = list(combinations(present, 2))
-    aggregates = [F.corr(a, b).alias(f"r_{a}_{b}") for a, b in pairs]
-    aggregates += [F.corr(a, a).alias(f"r_{a}_{a}") for a in present]
+
+    def pair_r(a: str, b: str) -> Column:
+        square, covariance = F.regr_r2(a, b), F.covar_pop(a, b)
+        constant = (covariance == 0) & (square == 1)
+        return F.when(~constant, F.signum(covariance) * F.sqrt(square))
+
+    aggregates = [pair_r(a, b).alias(f"{a}*{b}") for a, b in pairs]
+    aggregates += [F.when(F.min(a) < F.max(a), F.lit(1.0)).alias(f"{a}*{a}") for a in present]
     row = posts.agg(*aggregates)
 
     def cell(a: str, b: str, source: str) -> Column:
-        value = F.when(~F.isnan(source), F.col(source))
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("r"))
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{source}`").alias("r"))
 
-    cells = [cell(a, b, f"r_{a}_{b}") for a, b in pairs]
-    cells += [cell(b, a, f"r_{a}_{b}") for a, b in pairs]
-    cells += [cell(a, a, f"r_{a}_{a}") for a in present]
+    cells = [cell(a, b, f"{a}*{b}") for a, b in pairs]
+    cells += [cell(b, a, f"{a}*{b}") for a, b in pairs]
+    cells += [cell(a, a, f"{a}*{a}") for a in present]
     return row.select(F.inline(F.array(*cells)))
 
 
