@@ -14,15 +14,17 @@ POST_URL_FORMAT = "https://twitter.com/%s/status/%s"
 
 # --- fixed values: character classes and patterns --------------------------
 # Word and blank characters are written out as explicit classes: what counts as
-# one must not depend on the pattern engine. The two wide ranges in front of the
-# blanks reject ordinary characters with one comparison.
-WORD = r"[\p{L}\p{N}_]"
+# one must not depend on the pattern engine. Each class starts with plain ranges
+# that decide for ordinary characters before a Unicode property is looked up.
+WORD_CHARACTERS = r"a-zA-Z0-9_\p{L}\p{N}"
+WORD = f"[{WORD_CHARACTERS}]"
+CLOUD_WORD = f"[{WORD_CHARACTERS}][{WORD_CHARACTERS}']*"
 BLANKS = (
     r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}"
     r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 BLANK = r"[\x{09}-\x{20}\x{85}-\x{3000}&&[" + BLANKS + "]]"
-NOT_WORD_OR_BLANK = r"[^\p{L}\p{N}_" + BLANKS + "]"
+NOT_WORD_OR_BLANK = "[^" + WORD_CHARACTERS + BLANKS + "]"
 URL_PATTERN = r"https?://[!$-_a-z]+"
 LIKES_PATTERN = r"(?i)(\p{Nd}+(?:,\p{Nd}+)*)" + BLANK + r"*(?:likes?|hearts?)"
 RETWEETS_PATTERN = r"(?i)(\p{Nd}+(?:,\p{Nd}+)*)" + BLANK + r"*(?:retweets?|rts?)"

@@ -84,15 +84,16 @@ def term_frequency(
     dropped, and a plural in -s is counted with its singular where both occur.
     """
     texts = posts.select("content_cleaned").dropna()
-    pattern = F.lit(lx.WORD + "(?:" + lx.WORD + "|')*")
     # "outer": a plain explode filters on the list's size first and so extracts twice.
-    found = F.explode_outer(F.regexp_extract_all("content_cleaned", pattern, F.lit(0)))
-    words = texts.select(found.alias("w"))
-    bare = words.select(F.regexp_replace("w", "'s$", "").alias("term"))
+    found = F.regexp_extract_all("content_cleaned", F.lit(lx.CLOUD_WORD), F.lit(0))
+    words = texts.select(F.explode_outer(found).alias("word"))
+    # Counted as found, so that the rules below look at each distinct word once.
+    raw = words.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+    bare = raw.select(F.regexp_replace("word", "'s$", "").alias("term"), "uses")
     useful = bare.filter(
         (F.col("term") != "") & ~F.col("term").rlike(r"^\p{Nd}+$") & ~F.col("term").isin(stop_words)
     )
-    counts = useful.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+    counts = useful.groupBy("term").agg(F.sum("uses").alias("uses"))
     if fold_plurals:
         counts = folded_plurals(counts)
     return top_k(counts, "uses", k, "term")
