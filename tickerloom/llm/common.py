@@ -13,6 +13,9 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of an Arrow batch that are worked on together; bounds what a task holds beside the batch.
+ROWS_AT_ONCE = 500
+
 #: Rows whose ``crc32(doc_id as text) mod 4`` is this are held out from all learning.
 HELD_OUT_PART = 2
 
@@ -55,13 +58,14 @@ def map_columns(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            columns = batch.columns
-            made = work(*columns[len(kept):])
-            mask = None
-            if isinstance(made, tuple):
-                mask, made = made
-            out = pa.RecordBatch.from_arrays([*columns[: len(kept)], *made], names=schema.names)
-            yield out if mask is None else out.filter(mask)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                columns = whole.slice(at, ROWS_AT_ONCE).columns
+                made = work(*columns[len(kept):])
+                mask = None
+                if isinstance(made, tuple):
+                    mask, made = made
+                out = pa.RecordBatch.from_arrays([*columns[: len(kept)], *made], names=schema.names)
+                yield out if mask is None else out.filter(mask)
 
     return picked.mapInArrow(run, schema)
