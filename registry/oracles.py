@@ -446,8 +446,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT id, hash, hashtag_source, feed_pos, likes, {at('timestamp')} AS timestamp FROM once"),
         "union_sources": statement([POSTS], "SELECT id, hashtag_source, likes FROM posts"),
         "merge_summaries": statement(UP_TO_SCORED, f"SELECT count(*) AS scored_tweets, {MARKET}, {STATISTICS} FROM scored"),
-        "collect_posts": statement([POSTS, REPEATED, REVERSED.format("repeated"), recent(24, "reversed"),
-            first_per("hashtag_source, id", "feed_pos", "prefix", "once"),
+        "collect_posts": statement([POSTS, REPEATED, "spoilt AS (SELECT * REPLACE (CASE WHEN NOT (feed_pos >= 2000000000 AND retweets % 3 = 0) THEN content END AS content) FROM repeated)",
+            REVERSED.format("spoilt"), recent(24, "reversed"), VALID_FLAWED.replace("flawed", "prefix"),
+            first_per("hashtag_source, id", "feed_pos", "valid", "once"),
             "limited AS (SELECT * EXCLUDE (pick) FROM (SELECT *, row_number() OVER (PARTITION BY hashtag_source ORDER BY timestamp DESC, id) AS pick FROM once) WHERE pick <= 100)",
             f"hashed AS (SELECT *, {HASH} AS hash FROM limited)", first_per("hash", f"{SOURCE_RANK}, feed_pos, id", "hashed", "kept")],
             f"SELECT id, hash, hashtag_source, feed_pos, likes, {at('timestamp')} AS timestamp FROM kept"),
@@ -541,8 +542,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedup": per_post(f"{HASH} AS hash"),
         "stream_hourly": statement(UP_TO_CLEANED, f"""SELECT {at('h')} AS bucket, {r6('avg(s)')} AS mean_sentiment_score, sum(likes + retweets + replies)::BIGINT AS total_engagement,
           sum(likes)::BIGINT AS likes, sum(retweets)::BIGINT AS retweets, sum(replies)::BIGINT AS replies, count(username) AS tweet_count
-          FROM (SELECT *, date_trunc('hour', timestamp)::TIMESTAMP AS h, {SENTIMENT} AS s FROM cleaned)
-          WHERE h + INTERVAL 1 HOUR <= {AS_OF} - INTERVAL 24 HOUR GROUP BY h"""),
+          FROM (SELECT *, date_trunc('hour', timestamp)::TIMESTAMP AS h, {SENTIMENT} AS s FROM cleaned) GROUP BY h"""),
         "stream_merge": statement([POSTS, REPEATED, f"hashed AS (SELECT *, {HASH} AS hash FROM repeated)", first_per("hash", "feed_pos DESC", "hashed", "once")],
             "SELECT id, hash, feed_pos, likes FROM once"),
         "stream_score": statement(UP_TO_SCORED, f"SELECT id, {r6('primary_signal')} AS primary_signal, {r6('confidence_score')} AS confidence_score FROM scored"),

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickerloom import lexicon as lx
 from tickerloom import schema
@@ -414,7 +415,9 @@ def merge_summaries(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def collect_posts(spark: SparkSession, tables: str) -> DataFrame:
     """All collection rules in order, on a feed with copies and flaws."""
-    posts = feed.repeated_posts(spark, tables).withColumn("feed_pos", -c("feed_pos"))
+    flawed = (c("feed_pos") >= 2000000000) & (c("retweets") % 3 == 0)
+    posts = feed.repeated_posts(spark, tables).withColumn("content", F.when(~flawed, c("content")))
+    posts = posts.withColumn("feed_pos", -c("feed_pos"))
     kept = run.collect_posts(posts, feed.as_of(spark, tables), feed.SOURCES)
     return shown(kept.select("id", "hash", "hashtag_source", "feed_pos", "likes", "timestamp"))
 
@@ -937,13 +940,38 @@ def full_signals(spark: SparkSession, tables: str) -> DataFrame:
 # --- streaming ------------------------------------------------------------------------------
 
 
-def streamed(spark: SparkSession, source: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+BATCHES = 3
+
+
+def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str) -> str:
+    """Lands a feed as it would come in: in order of time, in several files."""
+    posts = stage(posts, f"{name}-feed")
+    path, spans = new_path(spark, name), BATCHES
+    first, last = posts.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    part = F.least(F.floor((F.unix_micros("timestamp") - first) * spans / max(1, last - first)), F.lit(spans - 1))
+    for number in range(spans):
+        posts.where(part == number).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def source(spark: SparkSession, posts: DataFrame, name: str) -> DataFrame:
+    """A stream over a landed feed that takes one file per micro-batch."""
+    path = landed_in_parts(spark, posts, f"{name}-in")
+    return streaming.stream_posts(spark, path, columns=posts.schema, max_files=1)
+
+
+def ended(running: StreamingQuery) -> None:
+    running.awaitTermination()
+    batches = running.lastProgress["batchId"] + 1
+    if batches < BATCHES:
+        raise RuntimeError(f"only {batches} micro-batches ran")
+
+
+def streamed(spark: SparkSession, posts: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Lands a feed, runs a stream over it to its end, and reads the sink."""
-    path = landed(spark, source, f"{name}-in")
-    stream = build(streaming.stream_posts(spark, path, columns=source.schema))
+    stream = build(source(spark, posts, name))
     out = new_path(spark, f"{name}-out")
-    running = streaming.start_file_sink(stream, out, new_path(spark, f"{name}-state"))
-    running.awaitTermination()
+    ended(streaming.start_file_sink(stream, out, new_path(spark, f"{name}-state")))
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -972,33 +1000,25 @@ def stream_hourly(spark: SparkSession, tables: str) -> DataFrame:
         total = c("likes") + c("retweets") + c("replies")
         return streaming.stream_hourly(texts.withColumn("total_engagement", total))
 
-    return shown(streamed(spark, feed.base_posts(spark, tables), "hourly", build))
+    stream, out = build(source(spark, feed.base_posts(spark, tables), "hourly")), new_path(spark, "hourly-out")
+    ended(streaming.start_updates(stream, streaming.log_batches(out), new_path(spark, "hourly-state")))
+    return shown(streaming.read_log(spark, out, ["bucket"]))
 
 
 @query
 def stream_merge(spark: SparkSession, tables: str) -> DataFrame:
-    source = feed.repeated_posts(spark, tables)
-    path = landed(spark, source, "merge-in")
-    out = new_path(spark, "merge-out")
-    stream = streaming.stream_posts(spark, path, columns=source.schema)
-    running = streaming.start_batches(
-        stream, streaming.merge_batches(out), new_path(spark, "merge-state")
-    )
-    running.awaitTermination()
-    merged = spark.read.parquet(f"{out}/version={running.lastProgress['batchId']}")
-    return merged.select("id", "hash", "feed_pos", "likes")
+    stream, out = source(spark, feed.repeated_posts(spark, tables), "merge"), new_path(spark, "merge-out")
+    ended(streaming.start_batches(stream, streaming.merge_batches(out), new_path(spark, "merge-state")))
+    return streaming.merged_posts(spark, out).select("id", "hash", "feed_pos", "likes")
 
 
 @query
 def stream_score(spark: SparkSession, tables: str) -> DataFrame:
+    """All micro-batches scored with the ranges of the last full run, so the cuts between them don't matter."""
     batch = run.lexicon_scored(feed.base_posts(spark, tables), feed.as_of(spark, tables))
-    source = batch.select(*run.LEAN_COLUMNS)
-    path = landed(spark, source, "score-in")
-    out = new_path(spark, "score-out")
-    stream = streaming.stream_posts(spark, path, columns=source.schema)
-    running = streaming.start_batches(
-        stream, streaming.score_batches(out), new_path(spark, "score-state")
-    )
-    running.awaitTermination()
-    posts = spark.read.parquet(f"{out}/batch={running.lastProgress['batchId']}")
-    return shown(posts.select("id", "primary_signal", "confidence_score"))
+    posts = stage(batch.select(*run.LEAN_COLUMNS), "score-posts")
+    used = [name for name in lx.SIGNAL_WEIGHTS if name in posts.columns]
+    ranges = posts.agg(F.max("total_engagement").alias("highest"), *[f(name).alias(f"{name}_{k}") for name in used for k, f in (("low", F.min), ("high", F.max))]).first()
+    bounds = {name: (ranges[f"{name}_low"], ranges[f"{name}_high"]) for name in used}
+    scored_stream = streamed(spark, posts, "score", lambda s: streaming.frozen_bounds_signals(s, bounds, ranges["highest"]))
+    return shown(scored_stream.select("id", "primary_signal", "confidence_score"))

@@ -2,16 +2,19 @@
 
 import json
 import random
+import warnings
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
 from tickerloom import lexicon as lx
+from tickerloom import staging
 from tickerloom.operators import charts, cleaning, dedup, ranking, signals, summary, trends
 from tickerloom.operators import textfeatures as tf
 from tickerloom.plans import run
@@ -219,11 +222,75 @@ def test_stream_merge_over_two_batches(spark, tables):
         part.write.mode("append").parquet(source)
         stream = streaming.stream_posts(spark, source, columns=base.schema)
         streaming.start_batches(stream, streaming.merge_batches(out), state).awaitTermination()
-    versions = sorted(int(p.name.split("=")[1]) for p in Path(out).iterdir() if p.is_dir())
-    assert versions == [0, 1]
-    merged = spark.read.parquet(f"{out}/version=1")
+    batches = sorted(int(p.name.split("=")[1]) for p in Path(out).iterdir() if p.is_dir())
+    assert batches == [0, 1]
+    merged = streaming.merged_posts(spark, out)
     assert merged.count() == base.count()
     assert merged.filter("feed_pos >= 2000000000").count() == resent.count()
+    compacted = spark.read.parquet(streaming.compact(spark, out, new_path(spark, "compact")))
+    assert compacted.count() == base.count()
+
+
+def test_a_missing_batch_is_an_error(spark, tables):
+    out = new_path(spark, "gap")
+    step, posts = streaming.merge_batches(out), feed.base_posts(spark, tables)
+    for number in range(3):
+        step(posts.limit(5), number)
+    staging.remove(spark, f"{out}/batch=1/_SUCCESS")
+    with pytest.raises(FileNotFoundError):
+        step(posts.limit(5), 2)
+    with pytest.raises(FileNotFoundError):
+        streaming.merged_posts(spark, out)
+    with pytest.raises(FileNotFoundError):
+        streaming.merge_batches(new_path(spark, "late"))(posts.limit(5), 5)
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    Context.master = "local[4]"
+    assert shared_dir(Session()) == shared_dir(Session())
+    before = spark.conf.get("spark.checkpoint.dir")
+    with staging.staging_scope(spark):
+        kept = stage(spark.range(3), "scoped").inputFiles()[0].removeprefix("file://")
+        assert Path(kept).exists()
+    assert not Path(kept).exists() and spark.conf.get("spark.checkpoint.dir") == before
+
+
+def test_save_parquet_by_partition(spark, tmp_path):
+    rows = spark.range(10).selectExpr("id", "id % 3 AS part")
+    path = writers.save_parquet(rows, str(tmp_path / "parts"), partition_by=["part"])
+    assert writers.save_parquet(rows.where("id < 4"), path, partition_by=["part"]) == path
+    assert spark.read.parquet(path).where("part = 0").count() == 2 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_an_invalid_first_copy_does_not_hide_a_valid_one(spark):
+    at = "timestamp '2024-01-01 09:00:00'"
+    posts = spark.sql(f"""SELECT '1' AS id, 'u' AS username, CAST(NULL AS STRING) AS content, {at} AS timestamp, '#a' AS hashtag_source, 0L AS feed_pos
+                          UNION ALL SELECT '1', 'u', 'valid text here', {at}, '#a', 1L""")
+    kept = run.collect_posts(posts, F.lit("2024-01-01 10:00:00").cast("timestamp"), ["#a"])
+    assert [r.content for r in kept.collect()] == ["valid text here"]
+
+
+def test_k_means_runs_until_it_stands_still(spark):
+    rng = np.random.default_rng(3)
+    rows = [(Vectors.dense(rng.random(2)),) for _ in range(4000)]
+    data = spark.createDataFrame(rows, ["_vector"])
+    with pytest.warns(UserWarning):
+        tf.fit_clusters(data, 5, restarts=1, max_iterations=2)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        tf.fit_clusters(data, 5, restarts=1)
 
 
 def test_frozen_bounds_give_the_batch_signal(spark, tables):

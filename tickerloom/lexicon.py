@@ -1,7 +1,7 @@
 """Word lists, phrases, weights, thresholds and formats.
 
-Results depend on these exact values. Every function that uses one takes it as
-a parameter whose default is the value below.
+Results depend on these exact values. Most functions that use one take it as a
+parameter whose default is the value below.
 """
 
 # --- fixed values: feeds and collection limits -----------------------------
@@ -140,6 +140,8 @@ SVD_COMPONENTS = 50
 MAX_CLUSTERS = 5
 TEXTS_PER_CLUSTER = 20
 CLUSTER_RESTARTS = 10
+CLUSTER_ITERATIONS = 300
+CLUSTER_TOLERANCE = 1e-4
 CLOUD_TERMS = 200
 STOP_WORDS = [
     "rt", "via", "amp", "quot", "gt", "lt", "https", "http", "www",

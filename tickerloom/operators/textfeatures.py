@@ -13,6 +13,7 @@ What reaches the driver is bounded by the vocabulary size, never by the data.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -309,14 +310,21 @@ def fit_clusters(
     restarts: int = lx.CLUSTER_RESTARTS,
     seed: int = lx.SAMPLE_SEED,
     parallelism: int = 4,
+    max_iterations: int = lx.CLUSTER_ITERATIONS,
+    tolerance: float = lx.CLUSTER_TOLERANCE,
 ) -> KMeansModel:
     """Best of several k-means runs by training cost, a few runs at a time.
 
+    A run that is still moving after ``max_iterations`` is reported with a warning.
+
     The input is cached once for all runs; each would otherwise cache its own.
     """
 
     def fit(run_seed: int) -> KMeansModel:
-        means = KMeans(k=k, seed=run_seed, featuresCol="_vector", predictionCol="topic_cluster")
+        means = KMeans(
+            k=k, seed=run_seed, maxIter=max_iterations, tol=tolerance,
+            featuresCol="_vector", predictionCol="topic_cluster",
+        )
         return means.fit(cached)
 
     in_session = inheritable_thread_target(with_vectors.sparkSession)
@@ -326,7 +334,10 @@ def fit_clusters(
             runs = pool.map(in_session(fit), range(seed, seed + restarts))
     finally:
         cached.unpersist()
-    return min(runs, key=lambda model: model.summary.trainingCost)
+    best = min(runs, key=lambda model: model.summary.trainingCost)
+    if best.summary.numIter >= max_iterations:
+        warnings.warn(f"k-means stopped after {max_iterations} iterations", stacklevel=2)
+    return best
 
 
 def tfidf_signals(

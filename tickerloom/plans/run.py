@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import traceback
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -11,7 +12,7 @@ from tickerloom import lexicon as lx
 from tickerloom.operators import charts, cleaning, dedup, ranking, signals, summary, trends
 from tickerloom.operators import textfeatures as tf
 from tickerloom.sources import writers
-from tickerloom.staging import stage
+from tickerloom.staging import stage, staging_scope
 
 # What later steps read of a processed post, apart from its texts.
 LEAN_COLUMNS = [
@@ -33,13 +34,13 @@ def collect_posts(
 ) -> DataFrame:
     """Collection rules over a landed feed.
 
-    Recent prefix of each source, ids once per source, valid rows only, the
-    newest share of each source, then one row per content hash.
+    Recent prefix of each source, valid rows only, ids once per source, the
+    newest share of each source, then one row per content hash. An id counts as
+    seen only once a valid post has come with it.
     """
     prefix = cleaning.recent_prefix(feed, as_of, sources, hours)
-    once = dedup.dedup_by_id(prefix)
-    valid = cleaning.validate_posts(once)
-    limited = ranking.per_source_limit(valid, len(sources), target)
+    once = dedup.dedup_by_id(cleaning.validate_posts(prefix))
+    limited = ranking.per_source_limit(once, len(sources), target)
     return dedup.dedup_first(limited, sources)
 
 
@@ -110,12 +111,17 @@ def run(feed: DataFrame, as_of: Column, out: str, sources: list[str] | None = No
     Row counts come from observations on the writes, not from extra passes.
     """
     result = RunResult()
+    with staging_scope(feed.sparkSession):
+        _run(feed, as_of, out, sources, result)
+    return result
+
+
+def _run(feed: DataFrame, as_of: Column, out: str, sources: list[str] | None, result: RunResult) -> None:
     try:
         posts = feed if sources is None else collect_posts(feed, as_of, sources)
         collected, processed = Observation("collected"), Observation("processed")
         rows = F.count(F.lit(1)).alias("rows")
-        enriched = cleaning.enrich(posts.observe(collected, rows))
-        wide = signals.lexicon_signals(cleaning.filter_quality(enriched), as_of)
+        wide = lexicon_scored(posts.observe(collected, rows), as_of)
         processed_path = f"{out}/processed_posts"
         wide.observe(processed, rows).write.mode("overwrite").parquet(processed_path)
         result.counts["collected"] = collected.get["rows"]
@@ -147,8 +153,7 @@ def run(feed: DataFrame, as_of: Column, out: str, sources: list[str] | None = No
         result.status = "completed"
     except Exception as error:  # a failed run is reported, not raised
         result.status = "failed"
-        result.errors.append(str(error))
-    return result
+        result.errors.append("".join(traceback.format_exception(error)))
 
 
 def chart_data(scored: DataFrame) -> dict[str, DataFrame]:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom import lexicon as lx
 from tickerloom.schema import TIME_OPTIONS
+from tickerloom.staging import put_in_place, remove
 
 # Texts hold quotes, line breaks and outer blanks; all of them must survive.
 CSV_OPTIONS = {
@@ -20,11 +24,19 @@ CSV_OPTIONS = {
 INTEGER_RANGES = [("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31)]
 
 
-def save_parquet(df: DataFrame, path: str, compression: str = "snappy") -> str:
-    """Overwrites ``path``; an empty frame is not written. Returns the path or ''."""
-    if df.isEmpty():
+def save_parquet(df: DataFrame, path: str, compression: str = "snappy", partition_by: Sequence[str] = ()) -> str:
+    """Overwrites ``path``; an empty frame is not written. Returns the path or ''.
+
+    The rows are counted while they are written, to a folder beside; it takes the place of ``path`` if there were any.
+    """
+    spark, rows = df.sparkSession, Observation()
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+    counted.write.partitionBy(*partition_by).option("compression", compression).parquet(beside)
+    if not rows.get["rows"]:
+        remove(spark, beside)
         return ""
-    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    put_in_place(spark, beside, path)
     return path
 
 

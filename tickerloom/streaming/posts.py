@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +12,24 @@ from pyspark.sql.streaming import StreamingQuery
 from tickerloom import lexicon as lx
 from tickerloom import schema
 from tickerloom.functions import scoring as sc
-from tickerloom.operators import cleaning, dedup, signals
-from tickerloom.sources.readers import load_parquet
+from tickerloom.operators import cleaning, dedup
+from tickerloom.staging import exists
 
 LATENESS = f"{lx.RECENCY_HOURS} hours"
 
 
 def stream_posts(
-    spark: SparkSession, path: str, fmt: str = "parquet", columns: T.StructType = schema.POST
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    columns: T.StructType = schema.POST,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> DataFrame:
-    """Posts as they land in a folder."""
-    return spark.readStream.schema(columns).format(fmt).load(path)
+    """Posts as they land in a folder; a micro-batch takes no more than the given files or bytes."""
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    reader = spark.readStream.schema(columns).format(fmt)
+    return reader.options(**{k: v for k, v in limits.items() if v is not None}).load(path)
 
 
 def stream_enrich(posts: DataFrame) -> DataFrame:
@@ -39,7 +46,11 @@ def stream_dedup(posts: DataFrame, lateness: str = LATENESS) -> DataFrame:
 def stream_hourly(
     posts: DataFrame, value: str = "sentiment_score", lateness: str = LATENESS
 ) -> DataFrame:
-    """Closed hours with mean and totals. No empty hours and no trend columns."""
+    """Hours with mean and totals. No empty hours and no trend columns.
+
+    In update mode (``log_batches``, then ``read_log`` by bucket) the hours still open are there as
+    well; in append mode an hour is written once the watermark has passed it.
+    """
     hourly = posts.withWatermark("timestamp", lateness).groupBy(
         F.window("timestamp", "1 hour").alias("_window")
     )
@@ -100,29 +111,59 @@ def start_batches(
     )
 
 
-def merge_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Step that merges each batch into a versioned folder, last row per hash.
+def start_updates(
+    stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str
+) -> StreamingQuery:
+    """As ``start_batches``, for aggregates: every micro-batch holds the groups it changed."""
+    return (
+        stream.writeStream.outputMode("update").foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
 
-    Version n holds the state after batch n. It is written from version n - 1
-    alone, so a batch that is run again after a failure gives the same version.
-    The first batch is merged with nothing, since it may hold copies as well.
+def log_batches(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+    """Step that writes each batch to a folder of its own and leaves earlier ones alone.
+
+    A batch that is run again after a failure replaces its own folder. A batch whose predecessor
+    is missing or unfinished is refused: its rows would be lost without notice.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        existing = load_parquet(spark, f"{path}/version={number - 1}") if number else None
-        hashed = dedup.with_content_hash(batch)
-        merged = dedup.merge_keep_last(hashed.limit(0) if existing is None else existing, hashed)
-        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+        if number and not exists(batch.sparkSession, f"{path}/batch={number - 1}/_SUCCESS"):
+            raise FileNotFoundError(f"batch {number - 1} is missing or unfinished in {path}")
+        prepare(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return step
 
 
-def score_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Step that scores each batch with the ranges of that batch."""
+def merge_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """Step that logs each batch, one row per content hash; ``merged_posts`` reads the merged state.
 
-    def step(batch: DataFrame, number: int) -> None:
-        scored = signals.composite_signals(batch)
-        scored.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    A batch costs its own rows only, however long the history.
+    """
+    order = [F.desc("feed_pos"), F.desc("id")]
+    return log_batches(path, lambda batch: dedup.first_per_key(dedup.with_content_hash(batch), ["hash"], order))
 
-    return step
+
+def read_log(spark: SparkSession, path: str, keys: list[str], order: Sequence[Column] = ()) -> DataFrame:
+    """The last row per key over all logged batches; a gap among the batches is an error."""
+    log = spark.read.parquet(path)
+    last = log.agg(F.max("batch")).first()[0]
+    for number in range(0 if last is None else last + 1):
+        if not exists(spark, f"{path}/batch={number}/_SUCCESS"):
+            raise FileNotFoundError(f"batch {number} is missing or unfinished in {path}")
+    return dedup.first_per_key(log, keys, [F.desc("batch"), *order]).drop("batch")
+
+
+def merged_posts(spark: SparkSession, path: str) -> DataFrame:
+    """All batches merged: last row per content hash, newest first."""
+    rows = read_log(spark, path, ["hash"], [F.desc("feed_pos"), F.desc("id")])
+    return rows.orderBy(F.desc("timestamp"), F.asc("id"))
+
+
+def compact(spark: SparkSession, path: str, to: str) -> str:
+    """The merged state as batch 0 of a new log."""
+    read_log(spark, path, ["hash"], [F.desc("feed_pos"), F.desc("id")]).write.parquet(f"{to}/batch=0")
+    return to
