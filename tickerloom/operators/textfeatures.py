@@ -216,6 +216,22 @@ class Projection:
     singular: np.ndarray
 
 
+#: Rows that are laid out densely at a time.
+DENSE_ROWS = 1024
+#: Terms for which the Gram matrix and its eigenvectors fit a task and the driver (about 800 MB).
+MAX_DENSE_TERMS = 10_000
+
+
+def dense_rows(indices: pd.Series, values: pd.Series, size: int) -> np.ndarray:
+    """Sparse rows as a matrix."""
+    dense = np.zeros((len(indices), size))
+    counts = indices.map(len).to_numpy()
+    if counts.sum():
+        rows = np.repeat(np.arange(len(indices)), counts)
+        dense[rows, np.concatenate(indices.to_numpy())] = np.concatenate(values.to_numpy())
+    return dense
+
+
 def gram_matrix(with_features: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(Gram matrix, column sums) of the feature vectors of eligible texts.
 
@@ -227,15 +243,9 @@ def gram_matrix(with_features: DataFrame, size: int) -> tuple[np.ndarray, np.nda
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((size + 1, size))
         for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.iloc[start : start + 1024]
-                dense = np.zeros((len(part), size))
-                counts = part["indices"].map(len).to_numpy()
-                if counts.sum():
-                    rows = np.repeat(np.arange(len(part)), counts)
-                    dense[rows, np.concatenate(part["indices"].to_numpy())] = np.concatenate(
-                        part["values"].to_numpy()
-                    )
+            for start in range(0, len(batch), DENSE_ROWS):
+                part = batch.iloc[start : start + DENSE_ROWS]
+                dense = dense_rows(part["indices"], part["values"], size)
                 total[:size] += dense.T @ dense
                 total[size] += dense.sum(axis=0)
         yield pd.DataFrame({"line": np.arange(size + 1), "sums": list(total)})
@@ -269,6 +279,8 @@ def fit_projection(
     Mean and deviation of the projected values follow from the same sums.
     """
     size = len(model.terms)
+    if size > MAX_DENSE_TERMS:
+        raise ValueError(f"{size} terms are more than the {MAX_DENSE_TERMS} that dense algebra is meant for")
     gram, sums = gram_matrix(with_features, size)
     count = min(components, size, model.texts)
     values, vectors = np.linalg.eigh(gram)
@@ -290,10 +302,11 @@ def with_components(with_features: DataFrame, projection: Projection) -> DataFra
     @F.pandas_udf("array<double>")
     def project(indices: pd.Series, values: pd.Series) -> pd.Series:
         loadings, mean = shared.value
-        projected = [
-            np.asarray(v) @ loadings[np.asarray(i, dtype=int)] - mean
-            for i, v in zip(indices, values)
-        ]
+        projected: list[np.ndarray] = []
+        for start in range(0, len(indices), DENSE_ROWS):
+            part = slice(start, start + DENSE_ROWS)
+            dense = dense_rows(indices.iloc[part], values.iloc[part], len(loadings))
+            projected.extend(dense @ loadings - mean)
         return pd.Series(projected)
 
     parts = sparse_parts(F.col("features"))
