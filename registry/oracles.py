@@ -287,7 +287,8 @@ MARKET = f"""{r6('avg(primary_signal)')} AS mean_signal, {r6('stddev_samp(primar
   count(*) FILTER (confidence_score > 0.7e0) AS high_confidence_signals,
   count(*) FILTER (trading_signal = 'BUY') AS buy_signals,
   count(*) FILTER (trading_signal = 'SELL') AS sell_signals,
-  count(*) FILTER (trading_signal = 'HOLD') AS hold_signals"""
+  count(*) FILTER (trading_signal = 'HOLD') AS hold_signals,
+  strftime({AS_OF}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp"""
 
 INFLUENCE = (
     "(signal_strength + confidence_score"
@@ -334,6 +335,7 @@ def summary_rows() -> str:
     """(section, key, number, text) of one row of facts."""
     rows = []
     sections = {
+        "timestamp": [("timestamp", None)],
         "overall_sentiment": [
             ("mean_signal", None), ("signal_std", None), ("bullish_tweets", None),
             ("bearish_tweets", None), ("neutral_tweets", "neutral_signal_tweets"),
@@ -351,7 +353,7 @@ def summary_rows() -> str:
     for section, keys in sections.items():
         for key, column in keys:
             value = column or key
-            if section == "date_range":
+            if section in ("date_range", "timestamp"):
                 number, words = "NULL::DOUBLE", value
             else:
                 number, words = f"{value}::DOUBLE", "NULL::VARCHAR"

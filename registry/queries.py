@@ -184,7 +184,8 @@ def sink_json_report(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def sink_text_summary(spark: SparkSession, tables: str) -> DataFrame:
     posts = scored(spark, tables)
-    facts = summary.merge_summaries(summary.market_summary(posts), summary.data_statistics(posts))
+    as_of = feed.as_of(spark, tables)
+    facts = summary.merge_summaries(summary.market_summary(posts, as_of), summary.data_statistics(posts))
     path = writers.save_text(summary.summary_lines(shown(facts)), new_path(spark, "summary"))
     lines = spark.read.option("header", "true").schema("section string, key string, value string")
     saved = lines.csv(path)
@@ -408,7 +409,7 @@ def union_sources(spark: SparkSession, tables: str) -> DataFrame:
 def merge_summaries(spark: SparkSession, tables: str) -> DataFrame:
     posts = scored(spark, tables)
     return shown(summary.merge_summaries(
-        summary.market_summary(posts), summary.data_statistics(posts)
+        summary.market_summary(posts, feed.as_of(spark, tables)), summary.data_statistics(posts)
     ))
 
 
@@ -432,7 +433,7 @@ def data_statistics(spark: SparkSession, tables: str) -> DataFrame:
 
 @query
 def market_summary(spark: SparkSession, tables: str) -> DataFrame:
-    return shown(summary.market_summary(scored(spark, tables)))
+    return shown(summary.market_summary(scored(spark, tables), feed.as_of(spark, tables)))
 
 
 @query

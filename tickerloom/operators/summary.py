@@ -52,8 +52,11 @@ def data_statistics(posts: DataFrame) -> DataFrame:
     return stats.filter(F.col("total_tweets") > 0)
 
 
-def market_summary(posts: DataFrame) -> DataFrame:
-    """One row of signal, confidence and label counts; none for empty input."""
+def market_summary(posts: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """One row of signal, confidence and label counts; none for empty input.
+
+    With ``as_of`` the row says as of when (``timestamp``, ISO text).
+    """
     have = set(posts.columns)
     columns = []
     if "primary_signal" in have:
@@ -77,7 +80,8 @@ def market_summary(posts: DataFrame) -> DataFrame:
             for label in ("BUY", "SELL", "HOLD")
         ]
     summary = posts.agg(F.count(F.lit(1)).alias("scored_tweets"), *columns)
-    return summary.filter(F.col("scored_tweets") > 0)
+    summary = summary.filter(F.col("scored_tweets") > 0)
+    return summary if as_of is None else summary.withColumn("timestamp", F.date_format(as_of, ISO))
 
 
 def theme_counts(posts: DataFrame, count: int = THEME_COUNT) -> DataFrame:
@@ -102,7 +106,9 @@ def merge_summaries(left: DataFrame, right: DataFrame) -> DataFrame:
     return right.select(*fields, *right.columns)
 
 
+# --- fixed values: names of the report's sections and keys ------------------
 SECTIONS = {
+    "timestamp": ["timestamp"],
     "overall_sentiment": [
         "mean_signal", "signal_std", "bullish_tweets", "bearish_tweets", "neutral_signal_tweets",
     ],
@@ -149,3 +155,10 @@ def summary_lines(summary: DataFrame) -> DataFrame:
         if name in have
     ]
     return summary.select(F.inline(F.array(*entries)))
+
+
+def theme_lines(posts: DataFrame) -> DataFrame:
+    """The largest clusters as (section, key, value) text rows."""
+    return theme_counts(posts).select(
+        F.lit("market_themes").alias("section"), F.col("theme").alias("key"), F.col("posts").cast("string").alias("value")
+    )

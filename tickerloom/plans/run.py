@@ -83,14 +83,16 @@ class RunResult:
     errors: list[str] = field(default_factory=list)
 
 
-def report_row(scored: DataFrame, top: int = lx.REPORT_TOP_POSTS) -> DataFrame:
+def report_row(
+    scored: DataFrame, top: int = lx.REPORT_TOP_POSTS, as_of: Column | None = None
+) -> DataFrame:
     """One row: summaries, the top posts and the hourly trends.
 
     What is gathered into lists is already limited: ``top`` posts and one row
     per hour.
     """
     facts = summary.merge_summaries(
-        summary.market_summary(scored), summary.data_statistics(scored)
+        summary.market_summary(scored, as_of), summary.data_statistics(scored)
     )
     best = ranking.top_influential(scored, top).agg(F.collect_list(F.struct("*")).alias("rows"))
     hours = trends.hourly_trends(scored).agg(
@@ -140,11 +142,13 @@ def _run(feed: DataFrame, as_of: Column, out: str, sources: list[str] | None, re
         result.paths["signals"] = signals_path
 
         scored = feed.sparkSession.read.schema(final.schema).parquet(signals_path)
-        result.paths["report"] = writers.save_report(report_row(scored), f"{out}/report")
+        result.paths["report"] = writers.save_report(report_row(scored, as_of=as_of), f"{out}/report")
         facts = summary.merge_summaries(
-            summary.market_summary(scored), summary.data_statistics(scored)
+            summary.market_summary(scored, as_of), summary.data_statistics(scored)
         )
         lines = summary.summary_lines(facts)
+        if "topic_cluster" in scored.columns:
+            lines = lines.unionByName(summary.theme_lines(scored))
         result.paths["summary"] = writers.save_text(lines, f"{out}/summary")
         for name, data in chart_data(scored).items():
             path = f"{out}/charts/{name}"
