@@ -205,6 +205,30 @@ WEIGHTS = """raw_weights AS (
 norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM raw_weights GROUP BY id),
 weights AS MATERIALIZED (SELECT id, term, w / norm AS weight FROM raw_weights JOIN norms USING (id))"""
 
+GRAM = """gram AS MATERIALIZED (
+  SELECT x.term AS a, y.term AS b, sum(x.weight * y.weight) AS product FROM weights x JOIN weights y ON y.id = x.id GROUP BY x.term, y.term)"""
+
+# Each step shrinks what is not the first component by the ratio of the first two eigenvalues, about one half.
+POWER_STEPS = 80
+MOMENTUM = f"""power AS (
+  SELECT 0 AS step, term, 1e0 AS v FROM vocabulary
+  UNION ALL
+  SELECT step, term, v / sqrt(sum(v * v) OVER ()) FROM (
+    SELECT p.step + 1 AS step, g.a AS term, sum(g.product * p.v) AS v
+    FROM power p JOIN gram g ON g.b = p.term WHERE p.step < {POWER_STEPS} GROUP BY p.step, g.a)),
+loadings AS MATERIALIZED (SELECT term, v * (SELECT sign(max_by(v, abs(v))) FROM power WHERE step = {POWER_STEPS}) AS v FROM power WHERE step = {POWER_STEPS}),
+projected AS (
+  SELECT t.id, t.ok, coalesce(p.value, 0e0) AS value FROM terms t
+  LEFT JOIN (SELECT id, sum(weight * v) AS value FROM weights JOIN loadings USING (term) GROUP BY id) p ON p.id = t.id),
+momentum AS MATERIALIZED (
+  SELECT id, CASE WHEN ok THEN (value - mean) / std ELSE 0e0 END AS tfidf_momentum
+  FROM projected, (SELECT avg(value) AS mean, stddev_pop(value) AS std FROM projected WHERE ok))"""
+
+ATTENTION = "attention AS (SELECT id, sqrt(sum(weight * weight)) AS attention FROM weights GROUP BY id)"
+FEATURED = """featured AS MATERIALIZED (
+  SELECT l.*, m.tfidf_momentum, coalesce(a.attention, 0e0) AS market_attention
+  FROM lexicon l JOIN momentum m ON m.id = l.id LEFT JOIN attention a ON a.id = l.id)"""
+
 UP_TO_CLEANED = [POSTS, CLEANED]
 UP_TO_ENRICHED = [*UP_TO_CLEANED, ENRICHED_ALL, ENRICHED]
 UP_TO_LEXICON = [*UP_TO_ENRICHED, LEXICON]
@@ -212,10 +236,16 @@ UP_TO_SCORED = [*UP_TO_LEXICON, SCORED]
 UP_TO_TERMS = [*UP_TO_CLEANED, TERMS]
 UP_TO_VOCABULARY = [*UP_TO_TERMS, VOCABULARY]
 UP_TO_WEIGHTS = [*UP_TO_VOCABULARY, WEIGHTS]
+UP_TO_MOMENTUM = [*UP_TO_WEIGHTS, GRAM, MOMENTUM]
+# The full run draws its terms from the posts that pass the quality cut.
+UP_TO_FULL = [
+    *UP_TO_LEXICON, TERMS.replace("FROM cleaned", "FROM enriched"), VOCABULARY, WEIGHTS, GRAM, MOMENTUM, ATTENTION, FEATURED,
+    composite("featured", list(lx.SIGNAL_WEIGHTS), "full_scored"),
+]
 
 
 def statement(blocks: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(blocks) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(blocks) + "\n" + body
 
 
 MEANS = ["primary_signal", "confidence_score", "signal_strength", "composite_sentiment"]
@@ -538,6 +568,14 @@ def oracle_sql() -> dict[str, str]:
         "build_vocabulary": statement(UP_TO_VOCABULARY, "SELECT term, corpus_count, doc_count, texts FROM vocabulary"),
         "tfidf_weights": statement(UP_TO_WEIGHTS, f"SELECT term, count(*) AS posts, {r6('avg(weight)')} AS mean_weight, {r6('max(weight)')} AS top_weight FROM weights GROUP BY term"),
         "market_attention": statement(UP_TO_WEIGHTS, f"SELECT t.id, {r6('coalesce(a.attention, 0e0)')} AS market_attention FROM terms t LEFT JOIN (SELECT id, sqrt(sum(weight * weight)) AS attention FROM weights GROUP BY id) a ON a.id = t.id"),
+        "gram_matrix": statement([*UP_TO_WEIGHTS, GRAM], "SELECT a, b, round(product, 3) AS product FROM gram WHERE a <= b"),
+        "standard_scale": statement(UP_TO_VOCABULARY, f"""SELECT unnest(range(least({lx.SVD_COMPONENTS}, count(*), max(texts))))::INTEGER AS component,
+          0e0 AS mean, 1e0 AS std FROM vocabulary"""),
+        "tfidf_momentum": statement(UP_TO_MOMENTUM, f"SELECT id, {r6('tfidf_momentum')} AS tfidf_momentum FROM momentum"),
+        "topic_coverage": statement(UP_TO_TERMS, f"""SELECT ok AS clustered, count(*) AS posts,
+          CASE WHEN ok THEN least({lx.MAX_CLUSTERS}, count(*) // {lx.TEXTS_PER_CLUSTER}) ELSE 1 END::BIGINT AS clusters FROM terms GROUP BY ok"""),
+        "full_signals": statement(UP_TO_FULL, f"""SELECT id, {', '.join(f'{r6(n)} AS {n}' for n in ['tfidf_momentum', 'market_attention', 'primary_signal', 'confidence_score'])},
+          trading_signal FROM full_scored"""),
         "min_corpus_guard": statement(UP_TO_VOCABULARY, "SELECT max(texts) AS texts, count(*) AS terms, least(5, max(texts) // 20)::BIGINT AS clusters, max(texts) >= 10 AS enough_texts FROM vocabulary"),
         "stream_posts": per_post(f"username, {at('timestamp')} AS timestamp, likes, md5(content) AS content_md5"),
         "stream_enrich": statement(UP_TO_ENRICHED, f"SELECT id, {r6('sentiment_score')} AS sentiment_score, is_potential_bot, {r6('quality_score')} AS quality_score FROM enriched"),

@@ -877,6 +877,19 @@ def min_corpus_guard(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+@query
+def gram_matrix(spark: SparkSession, tables: str) -> DataFrame:
+    """Inner products of all pairs of terms over the texts; zero where two never meet is left out."""
+    vectors, model = term_vectors(spark, tables)
+    names = F.array(*[F.lit(t) for t in model.terms])
+    lines = tf.gram_lines(vectors, len(model.terms)).filter(c("line") < len(model.terms))
+    cells = lines.select("line", F.posexplode("sums").alias("offset", "product")).filter("product <> 0")
+    one, other = F.get(names, c("line")), F.get(names, c("line") + c("offset"))
+    return cells.select(
+        F.least(one, other).alias("a"), F.greatest(one, other).alias("b"), F.round("product", 3).alias("product")
+    )
+
+
 def components(spark: SparkSession, tables: str) -> tuple[DataFrame, tf.Projection]:
     vectors, model = term_vectors(spark, tables)
     vectors = stage(vectors.drop("terms"), "vectors")
@@ -904,7 +917,7 @@ def standard_scale(spark: SparkSession, tables: str) -> DataFrame:
     stats = parts.groupBy(c("pos").alias("component")).agg(
         F.avg("col").alias("mean"), F.stddev_pop("col").alias("std")
     )
-    return stats.select("component", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    return shown(stats)
 
 
 @query
@@ -920,6 +933,15 @@ def topic_cluster(spark: SparkSession, tables: str) -> DataFrame:
     return posts.select("id", "topic_cluster")
 
 
+@query
+def topic_coverage(spark: SparkSession, tables: str) -> DataFrame:
+    """Posts with and without a cluster, and in how many clusters they are."""
+    clusters = topic_cluster(spark, tables)
+    return clusters.groupBy((c("topic_cluster") >= 0).alias("clustered")).agg(
+        F.count(F.lit(1)).alias("posts"), F.count_distinct("topic_cluster").alias("clusters")
+    )
+
+
 @query
 def market_themes(spark: SparkSession, tables: str) -> DataFrame:
     posts = tf.tfidf_signals(cleaned(spark, tables).select("id", "content_cleaned"))
@@ -928,13 +950,12 @@ def market_themes(spark: SparkSession, tables: str) -> DataFrame:
 
 @query
 def full_signals(spark: SparkSession, tables: str) -> DataFrame:
-    """Composite signal with text features: the complete scoring run."""
+    """Composite signal with text features: the complete scoring run. Clusters are shown by ``topic_cluster``."""
     posts = run.scored_posts_with_topics(
         feed.base_posts(spark, tables), feed.as_of(spark, tables)
     )
     return shown(posts.select(
-        "id", "topic_cluster", "tfidf_momentum", "market_attention", "primary_signal",
-        "confidence_score", "trading_signal",
+        "id", "tfidf_momentum", "market_attention", "primary_signal", "confidence_score", "trading_signal",
     ))
 
 

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 
 from tickerloom import lexicon as lx
 
-# Up to this k Spark itself cuts every input partition to k rows per group
-# before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-SALTS = 256
+# Spark cuts every input partition to k rows per group before a shuffle up to this k.
+LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Partial lists per group between the cut in the partitions and the last ranking.
+MERGE_FAN = 64
+
+
+def cut_before_shuffle(df: DataFrame, k: int) -> None:
+    """Raises Spark's own bound of the early cut to ``k``; plans change by it, results never. Left alone where it is switched off."""
+    conf = df.sparkSession.conf
+    if 0 <= int(conf.get(LIMIT_SETTING)) < k:
+        conf.set(LIMIT_SETTING, str(k))
 
 
 def top_k_per_group(
@@ -21,32 +28,24 @@ def top_k_per_group(
 ) -> DataFrame:
     """First ``k`` rows of every group, exactly.
 
-    ``k_bound`` is a literal upper bound of ``k``. A small bound needs one
-    window, since Spark then limits each partition before shuffling. For a
-    larger one a hot group is first ranked in salted parts: the overall top k
-    lie within the top k of each part, so nothing is lost and no task sees the
-    whole group.
+    ``k_bound`` is a literal upper bound of ``k``. Each partition is cut to so many rows
+    per group before anything is shuffled; the lists of neighbouring partitions
+    are merged first, then all of a group. So a hot group costs a task no more than
+    its share of the lists.
     """
+    cut_before_shuffle(df, k_bound)
     keys = [F.col(g) if isinstance(g, str) else g for g in group]
-    if k_bound > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*order_columns(df)), F.lit(SALTS))
-        parts = Window.partitionBy(*keys, salt).orderBy(*order)
-        df = df.withColumn("_part_rank", F.row_number().over(parts))
-        df = df.filter(F.col("_part_rank") <= k_bound).drop("_part_rank")
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    parts = Window.partitionBy(*keys, "_part").orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    located = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(MERGE_FAN)))
+    merged = located.withColumn("_rank", F.row_number().over(parts)).filter(F.col("_rank") <= k_bound)
+    ranked = merged.drop("_part").withColumn("_rank", F.row_number().over(whole))
     kept = ranked.filter(F.col("_rank") <= k_bound)
     if isinstance(k, Column):
         kept = kept.filter(F.col("_rank") <= k)
-    elif k != k_bound:
-        kept = kept.filter(F.col("_rank") <= k)
     return kept.drop("_rank")
 
 
-def order_columns(df: DataFrame) -> list[str]:
-    """Columns that spread rows over salts; the row id where there is one."""
-    return ["id"] if "id" in df.columns else df.columns
-
-
 def per_source_limit(
     posts: DataFrame,
     source_count: int,

@@ -232,42 +232,43 @@ def dense_rows(indices: pd.Series, values: pd.Series, size: int) -> np.ndarray:
     return dense
 
 
-def gram_matrix(with_features: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(Gram matrix, column sums) of the feature vectors of eligible texts.
+def gram_lines(with_features: DataFrame, size: int) -> DataFrame:
+    """(line, sums): the Gram matrix of the eligible texts' vectors, and as line ``size`` the column sums.
 
-    Every task adds up one ``size`` x ``size`` block of its rows, and blocks are
-    summed row by row. ``coalesce`` keeps the number of blocks near the number
-    of cores, whatever the number of input files.
+    Line i holds the columns from i on, since the matrix is symmetric. Every task adds
+    up one block of its rows; blocks are then summed line by line, with a line's sum as the only state.
     """
 
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((size + 1, size))
+        seen = False
         for batch in batches:
             for start in range(0, len(batch), DENSE_ROWS):
                 part = batch.iloc[start : start + DENSE_ROWS]
                 dense = dense_rows(part["indices"], part["values"], size)
                 total[:size] += dense.T @ dense
                 total[size] += dense.sum(axis=0)
-        yield pd.DataFrame({"line": np.arange(size + 1), "sums": list(total)})
+                seen = True
+        if seen:
+            lines = [total[i, i % size :] for i in range(size + 1)]
+            yield pd.DataFrame({"line": np.arange(size + 1), "sums": lines})
 
-    session = with_features.sparkSession
     parts = with_features.filter("text_eligible").select(
         sparse_parts(F.col("features"))["indices"].alias("indices"),
         sparse_parts(F.col("features"))["values"].alias("values"),
     )
-    blocks = parts.coalesce(2 * session.sparkContext.defaultParallelism).mapInPandas(
-        block, "line int, sums array<double>"
-    )
-    lines = (
-        blocks.groupBy("line")
-        .agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
-        .select("line", vector_to_array("sums").alias("sums"))
-        .collect()
-    )
+    blocks = parts.mapInPandas(block, "line int, sums array<double>")
+    summed = blocks.groupBy("line").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
+    return summed.select("line", vector_to_array("sums").alias("sums"))
+
+
+def gram_matrix(with_features: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(Gram matrix, column sums) of the feature vectors of eligible texts, on the driver."""
     total = np.zeros((size + 1, size))
-    for row in lines:
-        total[row.line] = row.sums
-    return total[:size], total[size]
+    for row in gram_lines(with_features, size).collect():
+        total[row.line, row.line % size :] = row.sums
+    upper = np.triu(total[:size])
+    return upper + np.triu(upper, 1).T, total[size]
 
 
 def fit_projection(
