@@ -338,7 +338,7 @@ def optional_columns(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def attach_features(spark: SparkSession, tables: str) -> DataFrame:
     prepared = tf.with_terms(cleaned(spark, tables))
-    terms = tf.fit_terms(prepared)
+    terms = tf.fit_terms(stage(tf.with_words(cleaned(spark, tables)).select("singles", "text_eligible"), "words"))
     features = tf.with_tfidf(prepared.filter("text_eligible"), terms).select(
         "id", tf.market_attention(c("features")).alias("market_attention")
     )
@@ -360,8 +360,9 @@ def attach_global_stats(spark: SparkSession, tables: str) -> DataFrame:
 
 @query
 def vocab_match(spark: SparkSession, tables: str) -> DataFrame:
-    prepared = stage(tf.with_terms(cleaned(spark, tables)).select("id", "terms", "text_eligible"), "terms")
-    vocabulary = tf.build_vocabulary(tf.frequent_terms(tf.term_counts(prepared)))
+    words = staged_words(spark, tables)
+    vocabulary = tf.build_vocabulary(tf.vocabulary_counts(words))
+    prepared = words.withColumn("terms", tf.with_pairs(c("singles")))
     matched = tf.vocab_match(prepared, vocabulary)
     return matched.groupBy("id").agg(
         F.count(F.lit(1)).alias("matches"), F.count_distinct("term").alias("terms")
@@ -828,6 +829,10 @@ def prepared_terms(spark: SparkSession, tables: str) -> DataFrame:
     return tf.with_terms(cleaned(spark, tables)).select("id", "terms", "text_eligible")
 
 
+def staged_words(spark: SparkSession, tables: str) -> DataFrame:
+    return stage(tf.with_words(cleaned(spark, tables)).select("id", "singles", "text_eligible"), "words")
+
+
 @query
 def tokenize_terms(spark: SparkSession, tables: str) -> DataFrame:
     return prepared_terms(spark, tables).select(
@@ -837,12 +842,13 @@ def tokenize_terms(spark: SparkSession, tables: str) -> DataFrame:
 
 @query
 def build_vocabulary(spark: SparkSession, tables: str) -> DataFrame:
-    return tf.build_vocabulary(tf.frequent_terms(tf.term_counts(prepared_terms(spark, tables))))
+    return tf.build_vocabulary(tf.vocabulary_counts(staged_words(spark, tables)))
 
 
 def term_vectors(spark: SparkSession, tables: str) -> tuple[DataFrame, tf.TermModel]:
-    prepared = stage(prepared_terms(spark, tables), "terms")
-    model = tf.fit_terms(prepared)
+    words = staged_words(spark, tables)
+    model = tf.fit_terms(words)
+    prepared = words.withColumn("terms", tf.with_pairs(c("singles"))).drop("singles")
     return tf.with_tfidf(prepared, model), model
 
 
@@ -866,8 +872,7 @@ def market_attention(spark: SparkSession, tables: str) -> DataFrame:
 @query
 def min_corpus_guard(spark: SparkSession, tables: str) -> DataFrame:
     """Texts, vocabulary size and cluster count that decide which stages run."""
-    counts = tf.frequent_terms(tf.term_counts(prepared_terms(spark, tables)))
-    vocabulary = tf.build_vocabulary(counts)
+    vocabulary = tf.build_vocabulary(tf.vocabulary_counts(staged_words(spark, tables)))
     texts = F.max("texts")
     return vocabulary.agg(
         texts.alias("texts"),

@@ -168,7 +168,7 @@ def test_features_match_dense_algebra(spark):
     texts = [" ".join(rng.choices(words, k=12)) for _ in range(60)] + ["short", "two words"]
     posts = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, content_cleaned string")
     prepared = stage(tf.with_terms(posts), "prepared")
-    model = tf.fit_terms(prepared)
+    model = tf.fit_terms(stage(tf.with_words(posts), "words"))
     assert model.texts == 60
 
     def terms(text):
@@ -202,6 +202,20 @@ def test_features_match_dense_algebra(spark):
     assert all(r.tfidf_momentum == 0.0 and r.market_attention == 0.0 for r in featured if r.topic_cluster == -1)
 
 
+@pytest.mark.parametrize("max_terms", [5, 40, 10**4])
+def test_pruned_pairs_give_the_full_vocabulary(spark, tables, max_terms):
+    """Ties at the cut included: small sets of words make many."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["aa", "bb", "cc", "dd", "ee", "ff", "gg"], 6)) for _ in range(40)]
+    posts = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, content_cleaned string")
+    full = tf.build_vocabulary(tf.term_counts(tf.with_terms(posts)), max_terms).collect()
+    pruned = tf.build_vocabulary(tf.vocabulary_counts(tf.with_words(posts), max_terms), max_terms).collect()
+    assert pruned == full
+    words = tf.frequent_terms(tf.term_counts(tf.with_words(posts), "singles"))
+    assert (tf.pair_words(words, max_terms) is not None) == (max_terms == 5)
+    assert tf.pair_words(words, max_terms, bound=1) is None
+
+
 # --- sources, sinks, streams, the run -------------------------------------------------
 
 

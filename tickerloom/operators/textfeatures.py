@@ -3,7 +3,7 @@
 Everything per post stays in columns of the posts frame, so no feature ever has
 to be joined back. The passes of a fit are
 
-1. term counts (partial counts before the shuffle) -> at most ``max_terms`` rows,
+1. counts of words, then of pairs of frequent words (partial counts before the shuffle) -> at most ``max_terms`` rows,
 2. one staged table of posts with their sparse vectors,
 3. the Gram matrix of those vectors, summed per task (``max_terms`` squared),
 4. one staged table of projected vectors, on which k-means iterates.
@@ -35,6 +35,8 @@ from tickerloom.staging import stage
 
 FEATURE_DEFAULTS = {"topic_cluster": -1, "tfidf_momentum": 0.0, "market_attention": 0.0}
 TEXT_COUNT_KEY = ""
+#: Words that may be sent along with a filter on pairs.
+MAX_PAIR_WORDS = 20_000
 
 
 def single_terms(feature_text: Column, stop_words: list[str] = lx.STOP_WORDS) -> Column:
@@ -56,27 +58,31 @@ def with_pairs(singles: Column) -> Column:
     return F.when(count >= 2, F.concat(singles, pairs)).otherwise(singles)
 
 
-def with_terms(
+def with_words(
     posts: DataFrame,
     min_length: int = lx.MIN_TEXT_LENGTH,
     min_words: int = lx.MIN_TEXT_WORDS,
 ) -> DataFrame:
-    """Adds ``text_eligible`` and ``terms``; a text that is too short has no terms."""
+    """Adds ``text_eligible`` and ``singles``; a text that is too short has none."""
     prepared = posts.withColumn("_text", tx.feature_text(F.col("content_cleaned")))
     eligible = (F.length("content_cleaned") >= min_length) & (
         F.size(tx.tokens(F.col("_text"))) >= min_words
     )
     flagged = prepared.withColumn("text_eligible", F.coalesce(eligible, F.lit(False)))
-    singles = flagged.withColumn(
-        "_singles",
+    return flagged.withColumn(
+        "singles",
         F.when(F.col("text_eligible"), single_terms(F.col("_text"))).otherwise(
             F.array().cast("array<string>")
         ),
-    )
-    return singles.withColumn("terms", with_pairs(F.col("_singles"))).drop("_text", "_singles")
+    ).drop("_text")
+
+
+def with_terms(posts: DataFrame) -> DataFrame:
+    """Adds ``text_eligible`` and ``terms``: single terms, then pairs."""
+    return with_words(posts).withColumn("terms", with_pairs(F.col("singles"))).drop("singles")
 
 
-def term_counts(prepared: DataFrame) -> DataFrame:
+def term_counts(prepared: DataFrame, terms: str = "terms") -> DataFrame:
     """Corpus and document counts per term, in one pass.
 
     Each text emits its terms in sorted order, the first of equal ones marked:
@@ -86,9 +92,14 @@ def term_counts(prepared: DataFrame) -> DataFrame:
     no hot key.
     """
     with_count_key = F.when(
-        F.col("text_eligible"), F.array_prepend("terms", F.lit(TEXT_COUNT_KEY))
-    ).otherwise(F.col("terms"))
-    ordered = prepared.select(F.sort_array(with_count_key).alias("ordered"))
+        F.col("text_eligible"), F.array_prepend(terms, F.lit(TEXT_COUNT_KEY))
+    ).otherwise(F.col(terms))
+    return count_entries(prepared, with_count_key)
+
+
+def count_entries(df: DataFrame, terms: Column) -> DataFrame:
+    """Corpus and document counts of what the lists hold."""
+    ordered = df.select(F.sort_array(terms).alias("ordered"))
 
     def entry(term: Column, place: Column) -> Column:
         first = (place == 0) | (F.get(F.col("ordered"), place - 1) != term)
@@ -113,6 +124,57 @@ def frequent_terms(counts: DataFrame, min_docs: int = lx.MIN_DOC_COUNT) -> DataF
     return stage(kept, "counts")
 
 
+def pair_words(
+    singles: DataFrame,
+    max_terms: int = lx.MAX_TERMS,
+    min_docs: int = lx.MIN_DOC_COUNT,
+    max_share: float = lx.MAX_DOC_SHARE,
+    bound: int = MAX_PAIR_WORDS,
+) -> list[str] | None:
+    """The words that pairs of the vocabulary can be made of; None if there is no telling, or they are more than ``bound``.
+
+    A pair occurs no more often than either of its words. With ``max_terms`` single
+    terms within the limits, a pair that occurs less often than the last of them is
+    out. Words above the upper document limit stay, since their pairs may be within it.
+    """
+    last = (
+        build_vocabulary(singles, max_terms, min_docs, max_share)
+        .agg(F.count(F.lit(1)).alias("terms"), F.min("corpus_count").alias("least"))
+        .first()
+    )
+    if last.terms < max_terms:
+        return None
+    able = singles.filter((F.col("term") != TEXT_COUNT_KEY) & (F.col("corpus_count") >= last.least))
+    words = [r.term for r in able.select("term").limit(bound + 1).collect()]
+    return words if len(words) <= bound else None
+
+
+def vocabulary_counts(
+    words: DataFrame,
+    max_terms: int = lx.MAX_TERMS,
+    min_docs: int = lx.MIN_DOC_COUNT,
+    max_share: float = lx.MAX_DOC_SHARE,
+) -> DataFrame:
+    """Counts of all terms that the vocabulary can come from; ``words`` (with ``singles``) is read twice.
+
+    Single terms are counted first, then only pairs of words frequent enough
+    (``pair_words``), so that what is shuffled does not grow with the corpus' distinct pairs.
+    """
+    singles = frequent_terms(term_counts(words, "singles"), min_docs)
+    known = pair_words(singles, max_terms, min_docs, max_share)
+    word, size = F.col("singles"), F.size("singles")
+    if known is not None:
+        word = F.transform("singles", lambda w: F.when(w.isin(known), w))
+    marked = words.select(word.alias("marked"), size.alias("size"))
+    pairs = F.zip_with(
+        F.slice("marked", F.lit(1), F.greatest(F.lit(0), F.col("size") - 1)),
+        F.slice("marked", F.lit(2), F.greatest(F.lit(0), F.col("size") - 1)),
+        lambda a, b: F.concat(a, F.lit(" "), b),
+    )
+    counts = count_entries(marked, F.filter(pairs, lambda p: p.isNotNull()))
+    return singles.unionByName(frequent_terms(counts, min_docs))
+
+
 def build_vocabulary(
     counts: DataFrame,
     max_terms: int = lx.MAX_TERMS,
@@ -156,9 +218,9 @@ class TermModel:
         return self.texts >= lx.MIN_TEXTS and bool(self.terms)
 
 
-def fit_terms(prepared: DataFrame, max_terms: int = lx.MAX_TERMS) -> TermModel:
-    """Collects the vocabulary: at most ``max_terms`` rows."""
-    vocabulary = build_vocabulary(frequent_terms(term_counts(prepared)), max_terms)
+def fit_terms(words: DataFrame, max_terms: int = lx.MAX_TERMS) -> TermModel:
+    """Collects the vocabulary: at most ``max_terms`` rows. ``words`` should be staged."""
+    vocabulary = build_vocabulary(vocabulary_counts(words, max_terms), max_terms)
     rows = vocabulary.select("term", idf(F.col("doc_count"), F.col("texts")).alias("idf"), "texts")
     kept = rows.collect()
     return TermModel([r.term for r in kept], [r.idf for r in kept], kept[0].texts if kept else 0)
@@ -365,11 +427,11 @@ def tfidf_signals(
     without a usable vocabulary, is returned as it came. Two staged tables keep
     the input columns beside the vectors.
     """
-    prepared = with_terms(posts)
-    terms = fit_terms(prepared)
+    words = stage(with_words(posts).select("singles", "text_eligible"), "words")
+    terms = fit_terms(words)
     if not terms.usable:
         return posts
-    vectors = stage(with_tfidf(prepared, terms).drop("terms"), "vectors")
+    vectors = stage(with_tfidf(with_terms(posts), terms).drop("terms"), "vectors")
     projection = fit_projection(vectors, terms)
     projected = stage(
         with_components(vectors, projection).withColumn(
