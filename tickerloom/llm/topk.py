@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickerloom.staging import new_path
+
 K = 10
 SCALE = 1024
 #: Bytes of one query block as it goes to the tasks; sets how many passes there are.
@@ -110,17 +112,25 @@ def best_rows(found: DataFrame, k: int, *group: str | Column) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def merge_lists(tops: DataFrame, k: int) -> DataFrame:
+    """The lists of all tasks, merged per group of tasks and then per query."""
+    query = ["query_id", "query_key"]
+    grouped = best_rows(tops.withColumn("group_", F.pmod(F.spark_partition_id(), F.lit(MERGE_FAN))), k, *query, "group_").drop("rank", "group_")
+    return best_rows(grouped, k, *query).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, vector: str = "embedding", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates in ``vectors`` of every row of ``queries``.
 
     One block of queries at a time comes to the driver, ``block_bytes`` on average; the number of blocks follows the query set.
+    With several blocks each one's answers are written before the next comes, so neither the driver nor a plan holds more than one.
     """
     shards = vectors.where(usable(F.col(vector))).select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias(vector))
     doubles = F.col(vector).cast("array<double>")
     asked = queries.where(usable(F.col(vector)) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long"), F.xxhash64(doubles).alias("query_key"), doubles.alias(vector))
     total = asked.agg(F.sum(8 * F.size(vector) + 16)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    found = None
+    spark, path = vectors.sparkSession, new_path(vectors.sparkSession, "topk")
     for number in range(blocks):
         part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number)
         rows = part.distinct().toArrow()
@@ -129,8 +139,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, vector: str = "em
         for i, row in enumerate(lists):
             by_size.setdefault(len(row), []).append(i)
         block = [(ids[at], keys[at], np.floor(SCALE * np.array([lists[i] for i in at], np.float64).reshape(len(at), size))) for size, at in by_size.items()]
-        tops = search_block(shards, block, k, vector)
-        found = tops if found is None else found.unionByName(tops)
-    query = ["query_id", "query_key"]
-    grouped = best_rows(found.withColumn("group_", F.pmod(F.spark_partition_id(), F.lit(MERGE_FAN))), k, *query, "group_").drop("rank", "group_")
-    return best_rows(grouped, k, *query).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        found = merge_lists(search_block(shards, block, k, vector), k)
+        if blocks > 1:
+            found.write.mode("append").parquet(path)
+    return found if blocks == 1 else spark.read.schema(found.schema).parquet(path)
