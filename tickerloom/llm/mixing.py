@@ -7,7 +7,7 @@
    target / (2 j - 1). Only quotients near the cut are listed, about three per source
    however many blocks there are (see ``apportion``).
 3. Each source's blocks are divided the same way over its shards, to which documents are dealt by a keyed hash
-   and whose number follows the source's size. A hot source has many shards.
+   and whose number follows the source's words and rows, so empty texts don't crowd one either. A hot source has many shards.
 4. A shard's documents stand in a keyed order on a circle of its words; its quota of blocks is
    taken from a keyed start onwards, around the circle up to ``max_epochs`` times.
 
@@ -34,7 +34,7 @@ WEIGHTS = (3, 1, 2)
 TOTAL_PCT = 150
 MAX_EPOCHS = 2
 BLOCK_WORDS = 64
-#: Words per shard, as long as a source has no more than MAX_SHARDS of them; then its shards grow.
+#: Words and rows per shard, as long as a source has no more than MAX_SHARDS of them; then its shards grow.
 SHARD_WORDS = 50_000
 MAX_SHARDS = 200_000
 SEED = "mix-1"
@@ -106,10 +106,10 @@ def apportion(votes: DataFrame, group: Sequence[str], seats: str, vote: str, nam
 
 def plan(sizes: DataFrame, weights: Sequence[int], total_pct: int, max_epochs: int, block_words: int, shard_words: int, seed: str) -> tuple[DataFrame, DataFrame]:
     """Two small written tables: goals per source, and what is drawn per source and shard. ``sizes`` has doc_id, source and size."""
-    sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     goals = targets(sums, weights, total_pct, max_epochs).withColumn("blocks", F.round(F.sum("target").over(W.partitionBy()) / block_words).cast("long"))
     goals = apportion(goals, [], "blocks", "target", ["source"])
-    shards = F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))).cast("long")
+    shards = F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil((F.col("source_size") + F.col("n_rows")) / shard_words))).cast("long")
     goals = stage(goals.select(F.col("source").alias("source_"), "source_size", "target", F.col("quota").alias("source_quota"), shards.alias("shards")), "mix-goals")
     around = deal(sizes, goals, seed).groupBy("source_", "shard").agg(F.sum("size").alias("around"), F.first("source_quota").alias("source_quota"))
     quotas = apportion(around, ["source_"], "source_quota", "around", ["shard"])

@@ -100,7 +100,7 @@ def mix_sql() -> str:
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
 ),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_rows FROM d GROUP BY source),
 w AS (SELECT *, CAST({weights}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(m.WEIGHTS)} + 1] AS DOUBLE) AS weight FROM s),
 f AS (
   SELECT *, source_size * {float(m.MAX_EPOCHS)}::DOUBLE AS lim,
@@ -121,7 +121,7 @@ won AS (
 ),
 g AS (
   SELECT t4.source, source_size, target, low + coalesce(won.n, 0) AS source_quota,
-    least({m.MAX_SHARDS}, greatest(1, CAST(ceil(source_size / {m.SHARD_WORDS}) AS BIGINT))) AS shards
+    least({m.MAX_SHARDS}, greatest(1, CAST(ceil((source_size + (SELECT n_rows FROM s WHERE s.source IS NOT DISTINCT FROM t4.source)) / {m.SHARD_WORDS}) AS BIGINT))) AS shards
   FROM t4 LEFT JOIN won ON t4.source IS NOT DISTINCT FROM won.source
 ),
 e AS (
