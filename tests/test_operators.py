@@ -219,6 +219,14 @@ def test_pruned_pairs_give_the_full_vocabulary(spark, tables, max_terms):
 # --- sources, sinks, streams, the run -------------------------------------------------
 
 
+def test_files_with_other_columns_are_merged(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    spark.range(2).coalesce(1).write.parquet(path)
+    spark.range(2, 3).withColumn("more", F.lit(1)).coalesce(1).write.mode("append").parquet(path)
+    rows = readers.load_parquet(spark, path, merge_schema=True).orderBy("id").collect()
+    assert [(r.id, r.more) for r in rows] == [(0, None), (1, None), (2, 1)]
+
+
 def test_missing_and_empty_data_sets(spark, tmp_path):
     assert readers.load_parquet(spark, str(tmp_path / "nothing")) is None
     assert writers.save_parquet(spark.range(0), str(tmp_path / "empty")) == ""

@@ -29,10 +29,10 @@ def read_provider_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.PROVIDER_RECORD).json(path)
 
 
-def load_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet data set, or None where there is none."""
+def load_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+    """A Parquet data set, or None where there is none. ``merge_schema`` takes in columns that only some files have."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
