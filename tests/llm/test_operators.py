@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -156,6 +157,30 @@ def test_licences_are_found_whole_and_changed(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_whole_licences_are_found_by_name(documents):
+    words, texts = "alpha beta gamma delta " * 20, licenses.bodies()
+    rows = [(i, words + texts[name] + words) for i, name in enumerate(texts)]
+    cut = {"GPL-3.0 text": 17, "Apache-2.0 text": 13, "BSD-3-Clause text": 23, "Unlicense text": 11}
+    rows += [(1000 + i, " ".join(w for k, w in enumerate(texts[name].split()) if k % cut[name])) for i, name in enumerate(cut)]
+    found = by_id(licenses.scan(documents(rows)).collect())
+    for i, name in enumerate(texts):
+        assert [(r.license, r.coverage) for r in found[i]] == [(name, 1.0)], name
+        assert found[i][0].start_token == 80 and len(dict(rows)[i]) - found[i][0].end_char < len(words) + 5, name
+    for i, name in enumerate(cut):
+        assert [r.license for r in found[1000 + i]] == [name] and 0.85 < found[1000 + i][0].coverage < 1
+    for i, (name, text) in enumerate(licenses.headers().items()):
+        assert [r.license for r in licenses_of(text)] == [name]
+
+
+def licenses_of(text):
+    index = licenses.build_index(licenses.TEMPLATES | licenses.bodies())
+    ids = np.array([index.known.get(w, 0) for w in licenses.TOKEN.findall(text.lower())], np.int64)
+    places, values = licenses.winnow(ids)
+    numbers = np.minimum(np.searchsorted(index.posted, values), len(index.posted) - 1)
+    hit = index.posted[numbers] == values
+    return [SimpleNamespace(license=r[0], coverage=r[1]) for r in licenses.matches(text, ids, numbers[hit], places[hit], index, licenses.MIN_COVERAGE)]
+
+
 # 5 near-duplicates
 
 
