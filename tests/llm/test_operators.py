@@ -181,6 +181,18 @@ def licenses_of(text):
     return [SimpleNamespace(license=r[0], coverage=r[1]) for r in licenses.matches(text, ids, numbers[hit], places[hit], index, licenses.MIN_COVERAGE)]
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Licensed under CC BY-SA 4.0", ["CC-BY-SA-4.0"]), ("Licensed under CC BY 4.0", ["CC-BY-4.0"]), ("Licensed under CC BY-NC 4.0", ["CC-BY-NC-4.0"]), ("Licensed under CC BY-XX 4.0", []),
+    ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]), ("This work is licensed under the GNU General Public License, version 3", ["GPL-3.0"]),
+    ("This work is licensed under the GNU General Public License, version 7", []), ("Released under the BSD License", ["BSD"]), ("Released under the MIT License", ["MIT"]),
+    ("Released under the Foo License", []), ("Licensed under the Apache License, Version 9.0", []),
+    (licenses.TEMPLATES["GPL header"].replace("version 3", "version 7"), []), (licenses.TEMPLATES["GPL header"].replace("version 3", "version 2"), ["GPL-2.0 header"]),
+    (licenses.TEMPLATES["GPL header"].replace("GNU General", "GNU Lesser General"), ["LGPL-3.0 header"]),
+])
+def test_sister_licences_are_told_apart(text, names):
+    assert [r.license for r in licenses_of("alpha beta " * 9 + text + " gamma" * 9)] == names
+
+
 # 5 near-duplicates
 
 

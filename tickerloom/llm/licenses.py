@@ -33,8 +33,12 @@ BAND = 4
 MIN_COVERAGE = 0.75
 TOKEN = re.compile(r"[a-z0-9]+")
 
-#: Templates of over BANDED tokens are aligned in a band that grows with them.
-BANDED = 48
+#: Templates of at most SHORT tokens must stand whole and without a gap. Those of at most HEADER tokens must have all their numbers and names;
+#: those of over BANDED tokens are aligned in a band that grows with them.
+SHORT, HEADER, BANDED = 16, 100, 48
+#: Words that tell sister licences apart: a place has the same of them as its template.
+KINDS = frozenset("noncommercial noderivatives noderivs sharealike".split())
+NAMES = KINDS | frozenset("lesser affero library documentation mit bsd apache mozilla eclipse isc nc nd sa".split())
 
 
 def notices() -> dict[str, str]:
@@ -158,7 +162,7 @@ def grams(ids: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
-    """``posted`` holds the grams' hashes, ``first[i]:first[i + 1]`` their templates and places; counts are those of each template."""
+    """``posted`` holds the grams' hashes, ``first[i]:first[i + 1]`` their templates and places; counts and keys are those of each template."""
 
     names: list[str]
     tokens: list[np.ndarray]
@@ -169,20 +173,28 @@ class Index:
     places: np.ndarray
     sizes: np.ndarray
     counts: list[tuple[np.ndarray, np.ndarray]]
+    keys: list[tuple[frozenset[int], frozenset[int], frozenset[int]]]
 
 
 def build_index(templates: dict[str, str]) -> Index:
     """Every gram of a template is posted, not only the winnowed ones, so that texts and templates need not agree at their ends."""
     known: dict[str, int] = {}
     tokens = [np.array([known.setdefault(w, len(known) + 1) for w in TOKEN.findall(t.lower())], np.int64) for t in templates.values()]
+    for word in sorted(NAMES):
+        known.setdefault(word, len(known) + 1)
     values = np.concatenate([grams(t) for t in tokens])
     owners = np.repeat(np.arange(len(tokens)), [max(0, len(t) - GRAM + 1) for t in tokens])
     places = np.concatenate([np.arange(max(0, len(t) - GRAM + 1)) for t in tokens])
     order = np.argsort(values, kind="stable")
     posted, first = np.unique(values[order], return_index=True)
+    names, kinds, numbers = (frozenset(known[w] for w in words) for words in (NAMES, KINDS, [w for w in known if any(c.isdigit() for c in w)]))
+    keys = []
+    for t in tokens:
+        own, watched = frozenset(t.tolist()), names if len(t) <= HEADER else kinds
+        keys.append((watched, own & watched, own & numbers if len(t) <= HEADER else frozenset()))
     counts = [np.unique(t, return_counts=True) for t in tokens]
     sizes = np.array([len(t) for t in tokens])
-    return Index([NUMBERED.sub("", n) for n in templates], tokens, known, posted, np.append(first, len(values)), owners[order], places[order], sizes, counts)
+    return Index([NUMBERED.sub("", n) for n in templates], tokens, known, posted, np.append(first, len(values)), owners[order], places[order], sizes, counts, keys)
 
 
 def align(template: np.ndarray, text: np.ndarray, diagonal: int) -> tuple[int, int, int]:
@@ -254,6 +266,13 @@ def may_cover(index: Index, t: int, part: np.ndarray, needed: float) -> bool:
     return int(np.minimum(have, counts).sum()) >= needed
 
 
+def told_apart(index: Index, t: int, part: np.ndarray) -> bool:
+    """Whether a place has the names and numbers by which the template differs from its sisters."""
+    watched, names, numbers = index.keys[t]
+    have = frozenset(part.tolist())
+    return have & watched == names and numbers <= have
+
+
 def matches(text: str, ids: np.ndarray, found_at: np.ndarray, where: np.ndarray, index: Index, min_coverage: float) -> list[tuple]:
     """Rows of one text from its hits (numbers of posted grams, places in the text)."""
     n = index.first[found_at + 1] - index.first[found_at]
@@ -265,7 +284,7 @@ def matches(text: str, ids: np.ndarray, found_at: np.ndarray, where: np.ndarray,
     slack = np.where(sizes > BANDED, np.maximum(BAND, sizes // 8), BAND)
     reach = np.where(sizes > BANDED, 3 * slack, slack)
     around = known[np.clip(lows + sizes + reach, 0, len(ids))] - known[np.clip(lows - reach, 0, len(ids))]
-    needed = min_coverage * sizes
+    needed = np.where(sizes <= SHORT, sizes, min_coverage * sizes)
     able = around >= needed
     owners, lows, sizes, slack = owners[able], lows[able], sizes[able], slack[able]
     if not len(owners):
@@ -274,6 +293,10 @@ def matches(text: str, ids: np.ndarray, found_at: np.ndarray, where: np.ndarray,
     places = []
     for t, low in np.unique(np.stack([owners, lows], 1), axis=0).tolist():
         size, template = int(index.sizes[t]), index.tokens[t]
+        if size <= SHORT:
+            if low >= 0 and np.array_equal(ids[low:low + size], template):
+                places.append((t, size, low, low + size - 1))
+            continue
         reach = 3 * slack_of(size) if size > BANDED else BAND
         if not may_cover(index, t, ids[max(0, low - reach):low + size + reach], min_coverage * size):
             continue
@@ -284,6 +307,8 @@ def matches(text: str, ids: np.ndarray, found_at: np.ndarray, where: np.ndarray,
     rows, taken = [], []
     for t, matched, first, last in sorted(set(places), key=lambda p: (-(3 * p[1] - int(index.sizes[p[0]]) - (p[3] - p[2] + 1)), -p[1] / int(index.sizes[p[0]]), p[2], p[0])):
         if all(last < a or first > b for a, b in taken):
+            if int(index.sizes[t]) > SHORT and not told_apart(index, t, ids[first:last + 1]):
+                continue
             taken.append((first, last))
             rows.append((index.names[t], matched / int(index.sizes[t]), matched, first, last + 1))
     if not rows:
