@@ -307,6 +307,19 @@ def test_main_text_leaves_furniture_out():
     assert htmlmain.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize("name", ["overflow-hidden", "md:hidden", "has-sidebar", "no-sidebar", "with-comments", "search-results", "hidden md:block", "ads-free"])
+def test_fragments_of_names_are_no_furniture(name):
+    page = f"<div class='{name}'><article><p>Kept</p></article></div>"
+    assert htmlmain.main_text(page) == "Kept" == htmlmain.main_text(page.replace("article", "section"))
+
+
+@pytest.mark.parametrize("name", ["hidden", "search", "comments", "sidebar"])
+def test_names_make_no_furniture_of_articles_and_their_holders(name):
+    for page in (f"<div class='{name}'><section id={name}><article><p>Kept</p></article></section></div>", f"<main class={name}><article class={name}><p>Kept</p></article></main>", f"<main id={name}><p>Kept</p></main>"):
+        assert htmlmain.main_text(page) == "Kept"
+    assert htmlmain.main_text(f"<article><p>Kept</p><div class='x {name}'><p>Gone</p></div></article>") == "Kept"
+
+
 def test_site_templates_go_and_copied_prose_stays(spark):
     page = lambda i: f"<body><div>Our site since 1999</div><article><p>Same prose.</p><div><a href=/>Share it</a></div><p>Own {i}</p></article><div>Bye</div></body>"
     plain = lambda i: f"<body><div>Our site</div><div><span>Own {i}</span></div></body>"

@@ -2,7 +2,8 @@
 
 A page's elements are hashed as subtrees (tag, class, and what they hold). Spark counts on how many pages of
 a host each subtree occurs; those on many of a host's pages are its template and are
-deleted, along with elements whose tag, role or class marks them as furniture. What is left of the article is cut into blocks.
+deleted, along with elements whose tag, role or whole class or id name marks them as furniture; names never make furniture of an
+article, a main element or what holds one. What is left of the article is cut into blocks.
 
 Guarded: an article (or main element), whatever holds it, and prose in it (paragraphs, headings, lists, quotes,
 code, tables) are never a template, however often copied; inside an article only other
@@ -42,15 +43,23 @@ SKIPPED = RAW | frozenset("head nav header footer aside form button select dialo
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tr td th figcaption".split())
 BLOCK = PROSE | frozenset("html body div section article main figure center address details summary fieldset caption thead tbody tfoot hr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of class and id names that mark furniture.
+#: Whole class and id names that mark furniture.
 MARKS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts advertisement "
     "advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe signup login "
-    "share sharing social comment comments commentlist respond disqus replies related recommended pagination pager toolbar skip form search hidden".split()
+    "share sharing social comment comments commentlist respond disqus replies related recommended pagination pager toolbar skip form search hidden "
+    "cookie-notice cookie-banner cookie-bar cookie-consent cookie-popup cookie-message gdpr-banner consent-banner site-header site-footer site-nav site-navigation "
+    "page-footer main-nav main-navigation main-menu nav-menu nav-bar top-nav top-bar topbar bottom-nav footer-nav footer-links global-nav primary-nav primary-menu "
+    "secondary-nav nav-links post-navigation navigation-bar mobile-menu mobile-nav side-bar sidebar-left sidebar-right widget-area ad-banner ad-container ad-slot "
+    "ad-unit ad-box ad-wrapper advert-box banner-ad google-ad adsbygoogle sponsored-content promo-box newsletter-signup newsletter-form email-signup subscribe-form "
+    "subscribe-box login-form search-form search-box search-bar searchform social-share social-links social-media share-buttons share-links share-bar sharing-buttons "
+    "comment-form comment-list comments-area comments-section comment-respond disqus_thread related-posts related-articles related-content related-links "
+    "recommended-posts page-navigation skip-link skip-links skip-to-content skip-nav screen-reader-text popup-overlay modal-dialog modal-content contact-form".split()
 )
+#: Class names that show at some width what another hides.
+SHOWN = re.compile(r":(?:block|flex|grid|inline\S*|table\S*|contents|visible)$")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-WORDS = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
 #: Elements that the start of these others closes, if it stands open nearest.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -59,10 +68,10 @@ RESULTS = "text string, n_chars long"
 
 
 class Node:
-    __slots__ = ("tag", "mark", "furniture", "children", "digest", "prose")
+    __slots__ = ("tag", "mark", "furniture", "by_tag", "children", "digest", "prose")
 
-    def __init__(self, tag: str, mark: str = "", furniture: bool = False):
-        self.tag, self.mark, self.furniture = tag, mark, furniture
+    def __init__(self, tag: str, mark: str = "", by_tag: bool = False, by_name: bool = False):
+        self.tag, self.mark, self.by_tag, self.furniture = tag, mark, by_tag, by_tag or by_name
         self.children: list[Node | str] = []
         self.digest = 0
         self.prose = tag in PROSE
@@ -106,10 +115,12 @@ def parse(html: str) -> Node:
                 del stack[depth:]
         attributes = {k.lower(): unescape(a or b or c or "") for k, a, b, c in ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t") else {}
         mark = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip().lower()
-        furniture = tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
-        furniture = furniture or (tag not in ("html", "body") and not MARKS.isdisjoint(WORDS.findall(mark)))
-        node = Node(tag, mark, furniture)
+        by_tag = tag in SKIPPED or attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        node = Node(tag, mark, by_tag, tag not in ("html", "body") and named_furniture(mark))
         stack[-1].children.append(node)
+        if tag in ("article", "main"):
+            for holder in (node, *stack):
+                holder.furniture = holder.by_tag
         if tag not in VOID:
             stack.append(node)
     if at < len(html):
@@ -117,6 +128,12 @@ def parse(html: str) -> Node:
     return root
 
 
+def named_furniture(mark: str) -> bool:
+    """Whether a class or id name, taken whole, marks furniture."""
+    found = MARKS.intersection(mark.split())
+    return bool(found) and not (found == {"hidden"} and any(map(SHOWN.search, mark.split())))
+
+
 def tidy(text: str) -> str:
     return SPACE.sub(" ", unescape(text)).strip()
 
