@@ -332,6 +332,16 @@ def test_site_templates_go_and_copied_prose_stays(spark):
     assert htmlmain.extract(pages.where("false")).count() == 0
 
 
+def test_templates_with_prose_go_where_no_article_is_marked(spark):
+    menu, foot = "<div class=x1><ul><li>Home</li><li>News</li></ul></div>", "<div><p>All rights reserved</p></div>"
+    page = lambda body: f"<body>{menu}<div><h1>Title {body}</h1><p>Text {body}</p><table><tr><td>1</td><td>of {body}</td></tr></table></div>{foot}</body>"
+    copied = [(100 + i, "http://a.b/copy", page("copied")) for i in range(12)]
+    rows = [(i, "http://a.b/x", page(f"own {i}")) for i in range(12)] + copied + [(200 + i, "http://c.d/x", page("everywhere")) for i in range(12)]
+    got = {r.page_id: r.text for r in htmlmain.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Title own 3\nText own 3\n1\nof own 3" and got[103] == "Title copied\nText copied\n1\nof copied"
+    assert "Title everywhere\nText everywhere\n1\nof everywhere" in got[203]
+
+
 # 8 languages
 
 

@@ -7,9 +7,12 @@ article, a main element or what holds one. What is left of the article is cut in
 
 Guarded: an article (or main element), whatever holds it, and prose in it (paragraphs, headings, lists, quotes,
 code, tables) are never a template, however often copied; inside an article only other
-elements without prose can be. Without an article or main element, the body is the article.
+elements without prose can be. Without an article or main element, the body is the article, and all its subtrees (but not
+single parts of tables) can be a template: such a subtree counts once for every different text that its pages hold besides it, so that
+the article of copied pages, which always stands in the same text, counts once, and a menu around different articles counts for each of them.
 
-Pages are parsed twice and never shuffled for counting: only (host, subtree hash) pairs are, counted in the task first. A host's templates
+Pages are parsed twice and never shuffled for counting: only (host, subtree hash) pairs are, counted in the task first, and for pages
+without an article (host, subtree hash, hash of the text besides). A host's templates
 are bounded, as each is on a share of its pages; the join with the pages is left to the planner, which
 splits hot hosts or sends the table of templates if that is small.
 
@@ -61,6 +64,8 @@ SHOWN = re.compile(r":(?:block|flex|grid|inline\S*|table\S*|contents|visible)$")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
+#: Parts of tables, which are never a template by themselves.
+CELLS = frozenset("tr td th thead tbody tfoot caption".split())
 #: Elements that the start of these others closes, if it stands open nearest.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -68,12 +73,12 @@ RESULTS = "text string, n_chars long"
 
 
 class Node:
-    __slots__ = ("tag", "mark", "furniture", "by_tag", "children", "digest", "prose")
+    __slots__ = ("tag", "mark", "furniture", "by_tag", "children", "digest", "prose", "said")
 
     def __init__(self, tag: str, mark: str = "", by_tag: bool = False, by_name: bool = False):
         self.tag, self.mark, self.by_tag, self.furniture = tag, mark, by_tag, by_tag or by_name
         self.children: list[Node | str] = []
-        self.digest = 0
+        self.digest = self.said = 0
         self.prose = tag in PROSE
 
 
@@ -139,7 +144,7 @@ def tidy(text: str) -> str:
 
 
 def seal(root: Node) -> None:
-    """Work out every subtree's hash, and whether it holds prose; children first, without recursion."""
+    """Work out every subtree's hash, the sum of its texts' hashes, and whether it holds prose; children first, without recursion."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -151,8 +156,12 @@ def seal(root: Node) -> None:
             if isinstance(child, Node):
                 hasher.update(b"\x01" + child.digest.to_bytes(8, "big", signed=True))
                 node.prose = node.prose or child.prose
+                node.said += 0 if child.furniture else child.said
             else:
-                hasher.update(b"\x02" + tidy(child).encode("utf-8", "replace"))
+                text = tidy(child).encode("utf-8", "replace")
+                hasher.update(b"\x02" + text)
+                if text:
+                    node.said += int.from_bytes(blake2b(text, digest_size=8).digest(), "big")
         node.digest = int.from_bytes(hasher.digest(), "big", signed=True)
 
 
@@ -173,23 +182,33 @@ def articles(root: Node) -> list[Node]:
     return [root]
 
 
-def candidates(root: Node) -> set[int]:
-    """Hashes of the subtrees that can be a template: all outside the main parts, and those without prose in them."""
+def candidates(root: Node) -> dict[int, int | None]:
+    """Hashes of the subtrees that can be a template: all outside the main parts, and those without prose in them.
+
+    On pages without a main part all but parts of tables; these have the hash of the rest of the page's text, the others None.
+    """
     mains = articles(root)
     inside = {id(m) for m in mains}
+    whole = mains == [root]
     holds: set[int] = set()
-    out: set[int] = set()
-    order, todo = [], [(root, False)]
+    out: dict[int, int | None] = {}
+    order, todo = [], [(root, False, False)]
     while todo:
-        node, in_main = todo.pop()
+        node, in_main, gone = todo.pop()
         in_main = in_main or id(node) in inside
-        order.append((node, in_main))
-        todo += [(c, in_main) for c in node.children if isinstance(c, Node)]
-    for node, in_main in reversed(order):
+        gone = gone or (node.furniture and node is not root)
+        order.append((node, in_main, gone))
+        todo += [(c, in_main, gone) for c in node.children if isinstance(c, Node)]
+    for node, in_main, gone in reversed(order):
         if id(node) in inside or any(id(c) in holds for c in node.children if isinstance(c, Node)):
             holds.add(id(node))
-        elif node.tag in BLOCK and not (in_main and node.prose):
-            out.add(node.digest)
+        elif node.tag not in BLOCK or gone:
+            continue
+        elif not whole:
+            if not (in_main and node.prose):
+                out[node.digest] = None
+        elif node.tag not in CELLS:
+            out[node.digest] = (root.said - node.said + 2**63) % 2**64 - 2**63
     return out
 
 
@@ -200,7 +219,7 @@ def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset
     root = parse(html)
     if templates:
         seal(root)
-        deletable = candidates(root) & templates
+        deletable = candidates(root).keys() & templates
     else:
         deletable = set()
     blocks: list[str] = []
@@ -232,29 +251,30 @@ def main_text(html: str | None, templates: frozenset[int] | set[int] = frozenset
 
 
 def count_subtrees(pages: DataFrame) -> DataFrame:
-    """host, digest and the number of the host's pages that hold it; digest null counts all pages of the host."""
+    """host, digest and the number of the host's pages that hold it, on pages without an article that of the different texts besides it; digest null counts all pages of the host."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             keys = list(counts)
-            made = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([counts[k] for k in keys], pa.int64())]
-            return pa.RecordBatch.from_arrays(made, names=["host", "digest", "pages"])
+            made = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            return pa.RecordBatch.from_arrays([*made, pa.array([counts[k] for k in keys], pa.int64())], names=["host", "digest", "rest", "pages"])
 
-        counts: Counter[tuple[str, int | None]] = Counter()
+        counts: Counter[tuple[str, int | None, int | None]] = Counter()
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[host, None] += 1
+                counts[host, None, None] += 1
                 if html:
                     root = parse(html)
                     seal(root)
-                    counts.update((host, d) for d in candidates(root))
+                    counts.update((host, d, rest) for d, rest in candidates(root).items())
                 if len(counts) > 100_000:
                     yield flush()
                     counts = Counter()
         yield flush()
 
-    pairs = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, digest long, pages long")
-    return pairs.groupBy("host", "digest").agg(F.sum("pages").alias("pages"))
+    found = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, digest long, rest long, pages long")
+    pairs = found.groupBy("host", "digest", "rest").agg(F.sum("pages").alias("pages"))
+    return pairs.groupBy("host", "digest").agg(F.sum(F.when(F.col("rest").isNull(), F.col("pages")).otherwise(1)).alias("pages"))
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
