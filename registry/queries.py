@@ -970,21 +970,27 @@ def full_signals(spark: SparkSession, tables: str) -> DataFrame:
 BATCHES = 3
 
 
-def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str) -> str:
-    """Lands a feed as it would come in: in order of time, in several files."""
+def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str) -> tuple[str, int]:
+    """Lands a feed as it would come in: in order of time, in one folder per part. Also the number of files, which all parts have.
+
+    A part has as many files as the feed has partitions; empty ones are put in where it has fewer rows, so that a micro-batch is always one part.
+    """
     posts = stage(posts, f"{name}-feed")
-    path, spans = new_path(spark, name), BATCHES
-    first, last = posts.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    path, spans, files = new_path(spark, name), BATCHES, max(1, posts.rdd.getNumPartitions())
+    first, last = (x or 0 for x in posts.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first())
     part = F.least(F.floor((F.unix_micros("timestamp") - first) * spans / max(1, last - first)), F.lit(spans - 1))
     for number in range(spans):
-        posts.where(part == number).coalesce(1).write.mode("append").parquet(path)
-    return path
+        folder = f"{path}/part-{number}"
+        posts.where(part == number).repartition(files).write.parquet(folder)
+        for _ in range(files - len(spark.read.schema(posts.schema).parquet(folder).inputFiles())):
+            posts.where("false").coalesce(1).write.mode("append").parquet(folder)
+    return path, files
 
 
 def source(spark: SparkSession, posts: DataFrame, name: str) -> DataFrame:
-    """A stream over a landed feed that takes one file per micro-batch."""
-    path = landed_in_parts(spark, posts, f"{name}-in")
-    return streaming.stream_posts(spark, path, columns=posts.schema, max_files=1)
+    """A stream over a landed feed that takes one part per micro-batch."""
+    path, files = landed_in_parts(spark, posts, f"{name}-in")
+    return streaming.stream_posts(spark, f"{path}/*", columns=posts.schema, max_files=files)
 
 
 def ended(running: StreamingQuery) -> None:

@@ -12,6 +12,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from registry import queries
 from registry.queries import QUERIES
 from tickerloom import lexicon as lx
 from tickerloom import staging
@@ -349,3 +350,20 @@ def test_run_writes_everything(spark, tables, tmp_path):
     assert sum(report["market_themes"].values()) <= report["total_tweets"]
     broken = run.run(feed.base_posts(spark, tables).filter("likes < 0"), F.current_timestamp(), str(tmp_path / "none"))
     assert broken.status == "failed" and broken.errors
+
+
+def test_landed_parts_have_several_files_and_empty_feeds_run(spark):
+    rows = [(str(i), f"2024-01-0{1 + i % 9 // 8} 10:00:00") for i in range(400)]
+    posts = spark.createDataFrame(rows, "id string, at string").selectExpr("id", "to_timestamp(at) AS timestamp").repartition(6)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        for feed in (posts, posts.where("false")):
+            path, files = queries.landed_in_parts(spark, feed, "landed")
+            parts = [spark.read.schema(feed.schema).parquet(f"{path}/part-{n}") for n in range(queries.BATCHES)]
+            assert all(len(p.inputFiles()) == files for p in parts)
+            assert sorted(r.id for p in parts for r in p.collect()) == sorted(r.id for r in feed.collect())
+            assert feed is not posts or sum(1 for p in [parts[0]] for n in p.groupBy(F.input_file_name()).count().collect()) > 1
+            out = queries.streamed(spark, feed, "landed", lambda s: s)
+            assert out.count() == feed.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
