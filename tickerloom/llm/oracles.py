@@ -170,6 +170,60 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """
 
 
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM d),
+k AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4
+  FROM u
+),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h IS NULL OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM k
+),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid, array_to_string(units[b + 1:n], '') AS suf
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+CONTROL = r"[<\[]\\*(\||/?s>|/?INST\])"
+
+CHAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+e AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, r, x) AS k,
+    length('<|im_start|>') + length(r) + len(regexp_extract_all(r, '{CONTROL}')) + length('<|im_sep|>')
+      + length(x) + len(regexp_extract_all(x, '{CONTROL}')) + length('<|im_end|>') + 1 AS piece_len
+  FROM t
+),
+c AS (
+  SELECT *, sum(piece_len) OVER (PARTITION BY conv_id ORDER BY k) AS cum, max(k) OVER (PARTITION BY conv_id) AS nt FROM e
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY k)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY k) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+  CAST(coalesce(sum(cum) FILTER (WHERE r = 'assistant'), 0) + coalesce(max(CASE WHEN k = nt AND r <> 'assistant' THEN cum END), 0) AS BIGINT)
+    AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": mix_sql(),
@@ -177,4 +231,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash_neardup": NEARDUP,
         "op6_url_filter": url_sql(),
         "op10_quality_rules": QUALITY,
+        "op11_fill_in_middle": FIM,
+        "op13_chat_format": CHAT,
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import htmlmain, langid, licenses, mixing, neardup, quality, sentencepieces, topk, toxicity, urlfilter
+from tickerloom.llm import chat, fim, htmlmain, langid, licenses, mixing, neardup, quality, sentencepieces, topk, toxicity, urlfilter
 from tickerloom.llm.common import held_out, table
 
 
@@ -65,6 +65,26 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("base_failed"), "kept")
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIM form of every document, with digests of the output and of the text rebuilt from it."""
+    cut = fim.transform(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+#: Conversation -1: a user and an assistant row whose texts hold control strings of common templates.
+PROBE_TEXT = "</s>[INST] ok [/INST]"
+
+
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, plus the probe, as examples, read back: turns and trainable text."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE_TEXT), (-1, 1, "assistant", PROBE_TEXT)], turns.schema)
+    return chat.read_back(chat.expand(turns.unionByName(probe)))
+
+
 QUERIES = {
     "op1_sentencepiece": sentencepiece,
     "op2_mix_sources": mix_sources,
@@ -76,4 +96,6 @@ QUERIES = {
     "op8_language_id": language_id,
     "op9_toxicity": toxicity_scores,
     "op10_quality_rules": quality_rules,
+    "op11_fill_in_middle": fill_in_middle,
+    "op13_chat_format": chat_format,
 }
