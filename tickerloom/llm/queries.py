@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import chat, fim, htmlmain, langid, licenses, mixing, neardup, quality, sentencepieces, topk, toxicity, urlfilter
+from tickerloom.llm import chat, fim, htmlmain, langid, licenses, mixing, neardup, quality, runs, sentencepieces, topk, toxicity, urlfilter
 from tickerloom.llm.common import held_out, table
 
 
@@ -74,6 +74,41 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Every tenth document (by crc32 of the id) gets a tail that repeats a block of its words.
+PLANT = {
+    "words": r"filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x != '')",
+    "h": "crc32(CAST(doc_id AS STRING))",
+}
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and the text as its words joined by one space, with the dealt tail where h % 10 = 0."""
+    w = docs.select("doc_id", F.expr(PLANT["words"]).alias("words"), F.expr(PLANT["h"]).alias("h"))
+    w = w.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    w = w.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END")).withColumn("per", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = "transform(words, (x, i) -> CASE WHEN i >= a THEN element_at(words, CAST(a + (i - a) % per + 1 AS INT)) ELSE x END)"
+    return w.select("doc_id", F.array_join(F.expr(f"CASE WHEN h % 10 = 0 AND n > 0 THEN {tail} ELSE words END"), " ").alias("text"))
+
+
+#: Before another run: greater length / period, then smaller start, then smaller period.
+BEFORE = """(x, y) -> CASE WHEN x.length * y.period <> y.length * x.period THEN IF(x.length * y.period > y.length * x.period, -1, 1)
+  WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1) WHEN x.period <> y.period THEN IF(x.period < y.period, -1, 1) ELSE 0 END"""
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every (planted) document: count, the strongest run, digests of all runs and of the collapsed text."""
+    found = runs.detect(planted(table(spark, sf_dir, "documents")), carry=["doc_id"])
+    best = F.expr(f"try_element_at(array_sort(runs, {BEFORE}), 1)")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 #: Conversation -1: a user and an assistant row whose texts hold control strings of common templates.
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 
@@ -97,5 +132,6 @@ QUERIES = {
     "op9_toxicity": toxicity_scores,
     "op10_quality_rules": quality_rules,
     "op11_fill_in_middle": fill_in_middle,
+    "op12_periodic_runs": periodic_runs,
     "op13_chat_format": chat_format,
 }
