@@ -224,6 +224,31 @@ momentum AS MATERIALIZED (
   SELECT id, CASE WHEN ok THEN (value - mean) / std ELSE 0e0 END AS tfidf_momentum
   FROM projected, (SELECT avg(value) AS mean, stddev_pop(value) AS std FROM projected WHERE ok))"""
 
+# Two singular values by power iteration, the second on the Gram matrix deflated by the first.
+SPECTRUM_STEPS = 150
+SPECTRUM = f"""first_power AS (
+  SELECT 0 AS step, term, 1e0 AS v FROM vocabulary
+  UNION ALL
+  SELECT step, term, v / sqrt(sum(v * v) OVER ()) FROM (
+    SELECT p.step + 1 AS step, g.a AS term, sum(g.product * p.v) AS v
+    FROM first_power p JOIN gram g ON g.b = p.term WHERE p.step < {SPECTRUM_STEPS} GROUP BY p.step, g.a)),
+first_vector AS MATERIALIZED (SELECT term, v FROM first_power WHERE step = {SPECTRUM_STEPS}),
+first_value AS MATERIALIZED (
+  SELECT sum(x.v * g.product * y.v) AS lam FROM first_vector x JOIN gram g ON g.a = x.term JOIN first_vector y ON y.term = g.b),
+deflated AS MATERIALIZED (
+  SELECT x.term AS a, y.term AS b, coalesce(g.product, 0e0) - (SELECT lam FROM first_value) * x.v * y.v AS product
+  FROM first_vector x CROSS JOIN first_vector y LEFT JOIN gram g ON g.a = x.term AND g.b = y.term),
+second_power AS (
+  SELECT 0 AS step, term, (hash(term) % 1000)::DOUBLE / 1000e0 - 0.5e0 AS v FROM vocabulary
+  UNION ALL
+  SELECT step, term, v / sqrt(sum(v * v) OVER ()) FROM (
+    SELECT p.step + 1 AS step, g.a AS term, sum(g.product * p.v) AS v
+    FROM second_power p JOIN deflated g ON g.b = p.term WHERE p.step < {SPECTRUM_STEPS} GROUP BY p.step, g.a)),
+second_vector AS MATERIALIZED (SELECT term, v FROM second_power WHERE step = {SPECTRUM_STEPS}),
+second_value AS MATERIALIZED (
+  SELECT sum(x.v * g.product * y.v) AS lam FROM second_vector x JOIN deflated g ON g.a = x.term JOIN second_vector y ON y.term = g.b),
+energy AS (SELECT coalesce(sum(weight * weight), 0e0) AS e FROM weights)"""
+
 ATTENTION = "attention AS (SELECT id, sqrt(sum(weight * weight)) AS attention FROM weights GROUP BY id)"
 FEATURED = """featured AS MATERIALIZED (
   SELECT l.*, m.tfidf_momentum, coalesce(a.attention, 0e0) AS market_attention
@@ -568,6 +593,9 @@ def oracle_sql() -> dict[str, str]:
         "build_vocabulary": statement(UP_TO_VOCABULARY, "SELECT term, corpus_count, doc_count, texts FROM vocabulary"),
         "tfidf_weights": statement(UP_TO_WEIGHTS, f"SELECT term, count(*) AS posts, {r6('avg(weight)')} AS mean_weight, {r6('max(weight)')} AS top_weight FROM weights GROUP BY term"),
         "market_attention": statement(UP_TO_WEIGHTS, f"SELECT t.id, {r6('coalesce(a.attention, 0e0)')} AS market_attention FROM terms t LEFT JOIN (SELECT id, sqrt(sum(weight * weight)) AS attention FROM weights GROUP BY id) a ON a.id = t.id"),
+        "svd_spectrum": statement([*UP_TO_WEIGHTS, GRAM, SPECTRUM], """SELECT * FROM (
+  SELECT 0 AS component, round(sqrt(greatest(lam, 0e0)), 4) AS singular_value, round(e, 4) AS energy FROM first_value, energy
+  UNION ALL SELECT 1, round(sqrt(greatest(lam, 0e0)), 4), round(e, 4) FROM second_value, energy)"""),
         "gram_matrix": statement([*UP_TO_WEIGHTS, GRAM], "SELECT a, b, round(product, 3) AS product FROM gram WHERE a <= b"),
         "standard_scale": statement(UP_TO_VOCABULARY, f"""SELECT unnest(range(least({lx.SVD_COMPONENTS}, count(*), max(texts))))::INTEGER AS component,
           0e0 AS mean, 1e0 AS std FROM vocabulary"""),

@@ -18,6 +18,7 @@ from tickerloom.functions import scoring as sc
 from tickerloom.functions import text as tx
 from tickerloom.functions import timing as tm
 from tickerloom.operators import charts, cleaning, dedup, ranking, signals, summary, trends
+from tickerloom.operators import subspace
 from tickerloom.operators import textfeatures as tf
 from tickerloom.plans import run
 from tickerloom.sources import feed, readers, writers
@@ -26,6 +27,8 @@ from tickerloom.streaming import posts as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Singular values that ``svd_spectrum`` shows; its SQL twin finds them by deflated power iteration.
+SPECTRUM_COMPONENTS = 2
 c = F.col
 
 
@@ -914,6 +917,20 @@ def svd_project(spark: SparkSession, tables: str) -> DataFrame:
     ))
 
 
+@query
+def svd_spectrum(spark: SparkSession, tables: str) -> DataFrame:
+    """The two largest singular values by matrix-free subspace iteration, and the sum of all squared values."""
+    vectors, model = term_vectors(spark, tables)
+    parts = stage(vectors.filter("text_eligible").select(
+        tf.sparse_parts(c("features"))["indices"].alias("indices"), tf.sparse_parts(c("features"))["values"].alias("values")
+    ), "sparse_rows")
+    singular, _, _, _, _ = subspace.truncated_svd(parts, len(model.terms), SPECTRUM_COMPONENTS)
+    energy = parts.select(F.aggregate("values", F.lit(0.0), lambda t, v: t + v * v).alias("sq")).agg(F.sum("sq")).first()[0]
+    rows = [(i, float(v), float(energy or 0.0)) for i, v in enumerate(singular)]
+    found = spark.createDataFrame(rows, "component int, singular_value double, energy double")
+    return found.select("component", F.round("singular_value", 4).alias("singular_value"), F.round("energy", 4).alias("energy"))
+
+
 @query
 def standard_scale(spark: SparkSession, tables: str) -> DataFrame:
     """Mean 0 and deviation 1 in every component."""

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tickerloom import lexicon as lx
 from tickerloom.functions import text as tx
+from tickerloom.operators import subspace
 from tickerloom.staging import stage
 
 FEATURE_DEFAULTS = {"topic_cluster": -1, "tfidf_momentum": 0.0, "market_attention": 0.0}
@@ -334,23 +335,31 @@ def gram_matrix(with_features: DataFrame, size: int) -> tuple[np.ndarray, np.nda
 
 
 def fit_projection(
-    with_features: DataFrame, model: TermModel, components: int = lx.SVD_COMPONENTS
+    with_features: DataFrame, model: TermModel, components: int = lx.SVD_COMPONENTS, method: str = "auto"
 ) -> Projection:
-    """Truncated SVD by the eigenvectors of the Gram matrix.
+    """Truncated SVD: by the eigenvectors of the Gram matrix (``gram``), or by block subspace iteration
+    without one (``subspace``, see ``operators/subspace.py``); ``auto`` takes the Gram route up to
+    ``MAX_DENSE_TERMS`` terms and subspace iteration above.
 
     The sign of a component is fixed so that its largest loading is positive.
     Mean and deviation of the projected values follow from the same sums.
     """
     size = len(model.terms)
-    if size > MAX_DENSE_TERMS:
-        raise ValueError(f"{size} terms are more than the {MAX_DENSE_TERMS} that dense algebra is meant for")
-    gram, sums = gram_matrix(with_features, size)
     count = min(components, size, model.texts)
-    values, vectors = np.linalg.eigh(gram)
-    values = np.clip(values[::-1][:count], 0.0, None)
-    loadings = vectors[:, ::-1][:, :count]
-    largest = np.abs(loadings).argmax(axis=0)
-    loadings = loadings * np.where(loadings[largest, np.arange(count)] < 0, -1.0, 1.0)
+    if method == "subspace" or (method == "auto" and size > MAX_DENSE_TERMS):
+        parts = with_features.filter("text_eligible").select(
+            sparse_parts(F.col("features"))["indices"].alias("indices"),
+            sparse_parts(F.col("features"))["values"].alias("values"),
+        )
+        singular, loadings, sums, _, _ = subspace.truncated_svd(parts, size, count)
+        values = singular**2
+    else:
+        gram, sums = gram_matrix(with_features, size)
+        values, vectors = np.linalg.eigh(gram)
+        values = np.clip(values[::-1][:count], 0.0, None)
+        loadings = vectors[:, ::-1][:, :count]
+        largest = np.abs(loadings).argmax(axis=0)
+        loadings = loadings * np.where(loadings[largest, np.arange(count)] < 0, -1.0, 1.0)
     mean = loadings.T @ sums / model.texts
     std = np.sqrt(np.clip(values / model.texts - mean**2, 0.0, None))
     return Projection(loadings, mean, std, np.sqrt(values))
