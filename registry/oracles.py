@@ -608,6 +608,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_posts": per_post(f"username, {at('timestamp')} AS timestamp, likes, md5(content) AS content_md5"),
         "stream_enrich": statement(UP_TO_ENRICHED, f"SELECT id, {r6('sentiment_score')} AS sentiment_score, is_potential_bot, {r6('quality_score')} AS quality_score FROM enriched"),
         "stream_dedup": per_post(f"{HASH} AS hash"),
+        "stream_dedup_state": statement([POSTS, REPEATED, f"hashed AS (SELECT *, {HASH} AS hash FROM repeated)", first_per("hash", "feed_pos, id", "hashed", "once")],
+            "SELECT id, hash, feed_pos, likes, hashtag_source FROM once"),
         "stream_hourly": statement(UP_TO_CLEANED, f"""SELECT {at('h')} AS bucket, {r6('avg(s)')} AS mean_sentiment_score, sum(likes + retweets + replies)::BIGINT AS total_engagement,
           sum(likes)::BIGINT AS likes, sum(retweets)::BIGINT AS retweets, sum(replies)::BIGINT AS replies, count(username) AS tweet_count
           FROM (SELECT *, date_trunc('hour', timestamp)::TIMESTAMP AS h, {SENTIMENT} AS s FROM cleaned) GROUP BY h"""),

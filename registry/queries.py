@@ -987,15 +987,17 @@ def full_signals(spark: SparkSession, tables: str) -> DataFrame:
 BATCHES = 3
 
 
-def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str) -> tuple[str, int]:
+def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str, arrival: Column | None = None) -> tuple[str, int]:
     """Lands a feed as it would come in: in order of time, in one folder per part. Also the number of files, which all parts have.
 
     A part has as many files as the feed has partitions; empty ones are put in where it has fewer rows, so that a micro-batch is always one part.
+    ``arrival`` (a time) decides the part instead of the post's own time where rows come later than they were made.
     """
     posts = stage(posts, f"{name}-feed")
     path, spans, files = new_path(spark, name), BATCHES, max(1, posts.rdd.getNumPartitions())
-    first, last = (x or 0 for x in posts.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first())
-    part = F.least(F.floor((F.unix_micros("timestamp") - first) * spans / max(1, last - first)), F.lit(spans - 1))
+    when = F.unix_micros("timestamp" if arrival is None else arrival)
+    first, last = (x or 0 for x in posts.agg(F.min(when), F.max(when)).first())
+    part = F.least(F.floor((when - first) * spans / max(1, last - first)), F.lit(spans - 1))
     for number in range(spans):
         folder = f"{path}/part-{number}"
         posts.where(part == number).repartition(files).write.parquet(folder)
@@ -1004,9 +1006,9 @@ def landed_in_parts(spark: SparkSession, posts: DataFrame, name: str) -> tuple[s
     return path, files
 
 
-def source(spark: SparkSession, posts: DataFrame, name: str) -> DataFrame:
+def source(spark: SparkSession, posts: DataFrame, name: str, arrival: Column | None = None) -> DataFrame:
     """A stream over a landed feed that takes one part per micro-batch."""
-    path, files = landed_in_parts(spark, posts, f"{name}-in")
+    path, files = landed_in_parts(spark, posts, f"{name}-in", arrival)
     return streaming.stream_posts(spark, f"{path}/*", columns=posts.schema, max_files=files)
 
 
@@ -1043,6 +1045,24 @@ def stream_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return posts.select("id", "hash")
 
 
+#: Originals come this long after their copies (same post time), so that near the end of a part a copy is
+#: kept first and its original, with the smaller feed_pos, replaces it in the next micro-batch.
+ORIGINALS_LATER = "INTERVAL 12 HOURS"
+
+
+@query
+def stream_dedup_state(spark: SparkSession, tables: str) -> DataFrame:
+    """One post per content hash by keyed state with timers: the smallest feed_pos survives, across micro-batches."""
+    posts = dedup.with_content_hash(feed.repeated_posts(spark, tables))
+    arrival = F.when(c("feed_pos") < 1_000_000_000, c("timestamp") + F.expr(ORIGINALS_LATER)).otherwise(c("timestamp"))
+    stream = streaming.stream_keep_smallest(source(spark, posts, "dedup-state", arrival))
+    out, checkpoint = new_path(spark, "dedup-state-out"), new_path(spark, "dedup-state-state")
+    ended(streaming.start_with_state_store(stream, out, checkpoint))
+    emitted = spark.read.schema(stream.schema).parquet(out)
+    survivors = emitted.unionByName(streaming.open_rows(spark, checkpoint))
+    return survivors.select("id", "hash", "feed_pos", "likes", "hashtag_source")
+
+
 @query
 def stream_hourly(spark: SparkSession, tables: str) -> DataFrame:
     def build(posts: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickerloom import lexicon as lx
 from tickerloom import schema
@@ -43,6 +45,108 @@ def stream_dedup(posts: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return hashed.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["hash"])
 
 
+#: The state store that keyed state with timers needs; asked for when such a query starts, not kept in the session.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_VARIABLE = "best"
+
+
+class KeepSmallest(StatefulProcessor):
+    """Per key, the row with the smallest ``order`` (ties: smallest ``tie``) among the rows of one window.
+
+    The first row of a key opens a window that ends at its time plus the lateness, and sets an event-time
+    timer there. Rows of the window that come later, in any micro-batch, replace the kept one only if they
+    are smaller. The kept row is emitted when the timer fires (the watermark passes the end), or at once when
+    a row at or past the end comes first; that row opens the next window. A row without a time belongs to the
+    open window.
+    """
+
+    def __init__(self, columns: T.StructType, order: str, tie: str, time: str, lateness_ms: int):
+        self.columns, self.order, self.tie, self.time, self.lateness_ms = columns, order, tie, time, lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState(STATE_VARIABLE, self.columns)
+        self.end = handle.getValueState("window_end", "end long")
+
+    def _ms(self, times: pd.Series) -> pd.Series:
+        return pd.to_datetime(times).astype("int64") // 1_000_000
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)[self.columns.names]
+        names = self.columns.names
+        closed = []
+        while len(batch):
+            if not self.best.exists():
+                times = batch[self.time].dropna()
+                opened = self._ms(times).min() if len(times) else timerValues.getCurrentWatermarkInMs()
+                end = int(opened) + self.lateness_ms
+                self.end.update((end,))
+                self.handle.registerTimer(end)
+            end = self.end.get()[0]
+            past = batch[self.time].notna() & (self._ms(batch[self.time].fillna(pd.Timestamp(0))) >= end)
+            inside = batch[~past].sort_values([self.order, self.tie], kind="stable", na_position="last")
+            if len(inside):
+                head = inside.iloc[0]
+                kept = self.best.get() if self.best.exists() else None
+                if kept is None or _rank(head[self.order], head[self.tie]) < _rank(kept[names.index(self.order)], kept[names.index(self.tie)]):
+                    self.best.update(tuple(None if pd.isna(v) else v for v in head.tolist()))
+            batch = batch[past]
+            if len(batch):
+                closed.append(list(self.best.get()))
+                self.best.clear()
+                self.handle.deleteTimer(end)
+        return iter([pd.DataFrame(closed, columns=names)] if closed else [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.best.exists():
+            kept = self.best.get()
+            self.best.clear()
+            self.end.clear()
+            yield pd.DataFrame([list(kept)], columns=self.columns.names)
+
+    def close(self) -> None:
+        pass
+
+
+def _rank(order, tie) -> tuple:
+    """Smaller first, missing values last."""
+    return (pd.isna(order), 0 if pd.isna(order) else order, pd.isna(tie), "" if pd.isna(tie) else str(tie))
+
+
+def stream_keep_smallest(
+    posts: DataFrame, key: str = "hash", order: str = "feed_pos", tie: str = "id", time: str = "timestamp",
+    lateness_hours: int = lx.RECENCY_HOURS,
+) -> DataFrame:
+    """One row per key and window: the smallest ``order`` among the rows of the key within the lateness of
+    the window's first one, emitted when the watermark passes its end. Windows still open when a finite feed
+    ends stay in the state store; ``open_rows`` reads them from the checkpoint. Rows without a key form one key."""
+    columns = posts.schema
+    processor = KeepSmallest(columns, order, tie, time, lateness_hours * 3_600_000)
+    return posts.withWatermark(time, f"{lateness_hours} hours").groupBy(key).transformWithStateInPandas(
+        processor, columns, "Append", "EventTime"
+    )
+
+
+def start_with_state_store(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A parquet sink for a stream with keyed state, run to the end of what is there, on RocksDB state."""
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        return start_file_sink(stream, path, checkpoint)
+    finally:
+        if before is None:
+            conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def open_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The kept rows of keys that are still open in a stream's state, read from its checkpoint."""
+    state = spark.read.format("statestore").option("stateVarName", STATE_VARIABLE).load(checkpoint)
+    return state.select("value.*")
+
+
 def stream_hourly(
     posts: DataFrame, value: str = "sentiment_score", lateness: str = LATENESS
 ) -> DataFrame:
