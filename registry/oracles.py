@@ -604,6 +604,8 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN ok THEN least({lx.MAX_CLUSTERS}, count(*) // {lx.TEXTS_PER_CLUSTER}) ELSE 1 END::BIGINT AS clusters FROM terms GROUP BY ok"""),
         "full_signals": statement(UP_TO_FULL, f"""SELECT id, {', '.join(f'{r6(n)} AS {n}' for n in ['tfidf_momentum', 'market_attention', 'primary_signal', 'confidence_score'])},
           trading_signal FROM full_scored"""),
+        "stream_score_model": statement(UP_TO_FULL, f"""SELECT id, {', '.join(f'{r6(n)} AS {n}' for n in ['tfidf_momentum', 'market_attention', 'primary_signal', 'confidence_score'])},
+          trading_signal FROM full_scored"""),
         "min_corpus_guard": statement(UP_TO_VOCABULARY, "SELECT max(texts) AS texts, count(*) AS terms, least(5, max(texts) // 20)::BIGINT AS clusters, max(texts) >= 10 AS enough_texts FROM vocabulary"),
         "stream_posts": per_post(f"username, {at('timestamp')} AS timestamp, likes, md5(content) AS content_md5"),
         "stream_enrich": statement(UP_TO_ENRICHED, f"SELECT id, {r6('sentiment_score')} AS sentiment_score, is_potential_bot, {r6('quality_score')} AS quality_score FROM enriched"),

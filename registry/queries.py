@@ -18,7 +18,7 @@ from tickerloom.functions import scoring as sc
 from tickerloom.functions import text as tx
 from tickerloom.functions import timing as tm
 from tickerloom.operators import charts, cleaning, dedup, ranking, signals, summary, trends
-from tickerloom.operators import subspace
+from tickerloom.operators import fitted, subspace
 from tickerloom.operators import textfeatures as tf
 from tickerloom.plans import run
 from tickerloom.sources import feed, readers, writers
@@ -1063,6 +1063,17 @@ def stream_dedup_state(spark: SparkSession, tables: str) -> DataFrame:
     return survivors.select("id", "hash", "feed_pos", "likes", "hashtag_source")
 
 
+@query
+def stream_score_model(spark: SparkSession, tables: str) -> DataFrame:
+    """A stream scored by the saved model of the full run (text features included): equal to ``full_signals`` row by row."""
+    batch = stage(run.lexicon_scored(feed.base_posts(spark, tables), feed.as_of(spark, tables)).select(
+        *run.LEAN_COLUMNS, "content", "content_cleaned"), "model-posts")
+    path = fitted.save(spark, fitted.fit(batch), new_path(spark, "scoring-model"))
+    model = fitted.load(spark, path)
+    scored = streamed(spark, batch, "score-model", lambda s: fitted.apply(s, model))
+    return shown(scored.select("id", "tfidf_momentum", "market_attention", "primary_signal", "confidence_score", "trading_signal"))
+
+
 @query
 def stream_hourly(spark: SparkSession, tables: str) -> DataFrame:
     def build(posts: DataFrame) -> DataFrame:
