@@ -32,9 +32,9 @@ def smoke_posts(spark):
     """Thirteen posts: three written out, ten alike."""
     now = "2024-01-01 10:00:00"
     written = [
-        ("0", "trader_bull", "Strong breakout makes Nifty bullish today before resistance. #nifty50 #bullish", 15, 8, 3, ["nifty50", "bullish"]),
-        ("1", "market_bear", "Profits first and then patience. Sensex shows weakness now. #sensex #bearish", 22, 12, 5, ["sensex", "bearish"]),
-        ("2", "intraday_king", "Intraday traders call this Bank Nifty setup good. Buy all small dips. #banknifty #intraday", 45, 28, 12, ["banknifty", "intraday"]),
+        ("0", "delta_hedger", "Gold stock futures rally hard to a green high as buyers lift prices past resistance and gain more. #gold #rally", 31, 6, 2, ["gold", "rally"]),
+        ("1", "ridge_shorts", "Crude market slides lower on weak demand, sellers press and the loss may deepen. #crude #selloff", 12, 19, 7, ["crude", "selloff"]),
+        ("2", "quiet_quant", "Rupee trading holds steady against the dollar while desks wait for the policy call. #rupee #forex", 30, 12, 4, ["rupee", "forex"]),
     ]
     alike = [
         (str(i + 3), f"user_{i}", f"Plain market remark number {i} carrying no opinion at all. #nifty50", 2 * i, i, i // 2, ["nifty50"])

@@ -7,14 +7,14 @@ from tickerloom.operators import cleaning, ranking, signals, summary, trends
 from tickerloom.operators import textfeatures as tf
 
 EXPECTED = {
-    "trader_bull": (78, 76, 26, 2, 0.4, 0.4, 0.0, 0.266667, 0.87889, 0.75, 0.077913, "HOLD"),
-    "market_bear": (76, 74, 39, 2, -0.090909, 0.1, 0.2, -0.063636, -0.234747, -0.725, 0.110664, "HOLD"),
-    "intraday_king": (90, 88, 85, 2, 0.0, 0.2, 0.0, 0.066667, 0.296956, -0.166781, 0.592079, "HOLD"),
+    "delta_hedger": (111, 109, 39, 2, 0.2, 0.8, 0.0, 0.333333, 1.229626, 0.75, 0.100601, "HOLD"),
+    "ridge_shorts": (96, 94, 38, 2, -0.125, 0.0, 0.3, -0.141667, -0.519005, -0.75, 0.09991, "HOLD"),
+    "quiet_quant": (97, 95, 46, 2, 0.0, 0.2, 0.0, 0.066667, 0.256677, -0.164607, 0.608683, "HOLD"),
 }
 ALIKE = {
-    0: (0, 0.0, "HOLD"), 1: (3, 0.242692, "HOLD"), 2: (7, 0.364039, "HOLD"), 3: (10, 0.419789, "HOLD"),
-    4: (14, 0.474086, "HOLD"), 5: (17, 0.506005, "SELL"), 6: (21, 0.541135, "SELL"),
-    7: (24, 0.563514, "SELL"), 8: (28, 0.589498, "SELL"), 9: (31, 0.606731, "SELL"),
+    0: (0, 0.0, "HOLD"), 1: (3, 0.241295, "HOLD"), 2: (7, 0.361943, "HOLD"), 3: (10, 0.417372, "HOLD"),
+    4: (14, 0.471357, "HOLD"), 5: (17, 0.503091, "SELL"), 6: (21, 0.538019, "SELL"),
+    7: (24, 0.56027, "SELL"), 8: (28, 0.586103, "SELL"), 9: (31, 0.603238, "SELL"),
 }
 
 
@@ -38,7 +38,7 @@ def test_written_posts(scored):
     for i, (engagement, confidence, label) in ALIKE.items():
         r = rows[f"user_{i}"]
         assert (r.content_length, r.cleaned_length, r.total_engagement) == (65, 64, engagement)
-        assert r.primary_signal == pytest.approx(-0.551943, abs=1e-6)
+        assert r.primary_signal == pytest.approx(-0.403351, abs=1e-6)
         assert r.confidence_score == pytest.approx(confidence, abs=1e-6)
         assert r.trading_signal == label
     assert all(r.quality_score == 1.0 and r.has_market_keywords and not r.is_potential_bot for r in rows.values())
@@ -76,7 +76,7 @@ def test_single_bucket_has_no_trend(scored):
 
 def test_top_posts(scored):
     top = ranking.top_influential(scored, 3).collect()
-    assert len(top) == 3 and top[0].username == "intraday_king"
+    assert len(top) == 3 and top[0].username == "quiet_quant"
     assert [r.influence_score for r in top] == sorted((r.influence_score for r in top), reverse=True)
 
 
@@ -85,6 +85,6 @@ def test_small_corpus_gives_no_clusters(scored):
     featured = tf.tfidf_signals(base)
     assert "topic_cluster" not in featured.columns
     lengths = [round(r.market_attention, 9) for r in featured.collect()]
-    # One post shares no term with another, so none of its terms is in the vocabulary.
-    assert sorted(lengths) == [0.0] + [1.0] * 12
+    # The three written posts share no term with another, so none of their terms is in the vocabulary.
+    assert sorted(lengths) == [0.0] * 3 + [1.0] * 10
     assert tf.tfidf_signals(base.limit(5)).columns == base.columns
