@@ -617,6 +617,8 @@ def oracle_sql() -> dict[str, str]:
           FROM (SELECT *, date_trunc('hour', timestamp)::TIMESTAMP AS h, {SENTIMENT} AS s FROM cleaned) GROUP BY h"""),
         "stream_merge": statement([POSTS, REPEATED, f"hashed AS (SELECT *, {HASH} AS hash FROM repeated)", first_per("hash", "feed_pos DESC", "hashed", "once")],
             "SELECT id, hash, feed_pos, likes FROM once"),
+        "stream_merge_bucketed": statement([POSTS, REPEATED, f"hashed AS (SELECT *, {HASH} AS hash FROM repeated)", first_per("hash", "feed_pos DESC", "hashed", "once")],
+            "SELECT id, hash, feed_pos, likes FROM once"),
         "stream_score": statement(UP_TO_SCORED, f"SELECT id, {r6('primary_signal')} AS primary_signal, {r6('confidence_score')} AS confidence_score FROM scored"),
     }
     return out

@@ -6,6 +6,7 @@ so that two engines can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -1093,6 +1094,19 @@ def stream_merge(spark: SparkSession, tables: str) -> DataFrame:
     return streaming.merged_posts(spark, out).select("id", "hash", "feed_pos", "likes")
 
 
+def history_name() -> str:
+    """A prefix for the history tables of one run, unique in the session's catalog."""
+    return f"merge_history_{uuid.uuid4().hex}"
+
+
+@query
+def stream_merge_bucketed(spark: SparkSession, tables: str) -> DataFrame:
+    """As ``stream_merge``, on a history bucketed by hash: reads dedupe bucket by bucket, compaction every few batches."""
+    stream, base = source(spark, feed.repeated_posts(spark, tables), "merge-bucketed"), history_name()
+    ended(streaming.start_batches(stream, streaming.bucketed_history(spark, base, every=2), new_path(spark, "merge-bucketed-state")))
+    return streaming.merged_history(spark, streaming.current_history(spark, base)).select("id", "hash", "feed_pos", "likes")
+
+
 @query
 def stream_score(spark: SparkSession, tables: str) -> DataFrame:
     """All micro-batches scored with the ranges of the last full run, so the cuts between them don't matter."""

@@ -251,6 +251,45 @@ def merge_batches(path: str) -> Callable[[DataFrame, int], None]:
     return log_batches(path, lambda batch: dedup.first_per_key(dedup.with_content_hash(batch), ["hash"], order))
 
 
+#: Buckets of the merged history by content hash; a read dedupes one bucket per task, without an exchange.
+HISTORY_BUCKETS = 16
+#: Micro-batches between compactions of the history into its next generation.
+COMPACT_EVERY = 10
+
+
+def bucketed_history(spark: SparkSession, base: str, buckets: int = HISTORY_BUCKETS, every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """Step that appends each batch (last row per hash) to a table bucketed by hash, ``<base>_g<k>`` in the warehouse.
+
+    Every ``every`` batches the table is compacted into the next generation: one row per hash, read bucket by bucket
+    and written into the same buckets, so no history is shuffled. A batch that runs again after a failure appends
+    the same rows, which the last-row rule reads once.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        rows = dedup.first_per_key(dedup.with_content_hash(batch), ["hash"], [F.desc("feed_pos"), F.desc("id")])
+        name = current_history(spark, base) or f"{base}_g0"
+        writer = rows.withColumn("batch", F.lit(number).cast("long")).write.mode("append").bucketBy(buckets, "hash")
+        writer.saveAsTable(name)
+        if (number + 1) % every == 0:
+            generation = int(name.rsplit("_g", 1)[1]) + 1
+            merged = merged_history(spark, name).withColumn("batch", F.lit(number).cast("long"))
+            merged.write.bucketBy(buckets, "hash").saveAsTable(f"{base}_g{generation}")
+            spark.sql(f"DROP TABLE {name}")
+
+    return step
+
+
+def current_history(spark: SparkSession, base: str) -> str | None:
+    """The newest generation of a bucketed history, if any."""
+    found = [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{base}_g")]
+    return max(found, key=lambda n: int(n.rsplit("_g", 1)[1])) if found else None
+
+
+def merged_history(spark: SparkSession, name: str) -> DataFrame:
+    """Last row per content hash of a bucketed history; the plan reads bucket by bucket, without an exchange."""
+    return dedup.first_per_key(spark.table(name), ["hash"], [F.desc("batch"), F.desc("feed_pos"), F.desc("id")]).drop("batch")
+
+
 def read_log(spark: SparkSession, path: str, keys: list[str], order: Sequence[Column] = ()) -> DataFrame:
     """The last row per key over all logged batches; a gap among the batches is an error."""
     log = spark.read.parquet(path)
