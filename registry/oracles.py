@@ -457,6 +457,9 @@ def oracle_sql() -> dict[str, str]:
         "narrow_types": statement([POSTS], "SELECT id, feed_pos, likes, retweets, replies, " + ", ".join(
             f"(SELECT CASE WHEN max({n}) < 128 THEN 'tinyint' WHEN max({n}) < 32768 THEN 'smallint' ELSE 'int' END FROM posts) AS {n}_type"
             for n in ("likes", "retweets", "replies")) + " FROM posts"),
+        "encode_categories": statement([POSTS], """SELECT id, CAST(dense_rank() OVER (ORDER BY username) - 1 AS BIGINT) AS username_code,
+          CAST(dense_rank() OVER (ORDER BY hashtag_source) - 1 AS BIGINT) AS hashtag_source_code, username, hashtag_source,
+          (SELECT count(DISTINCT content) < 0.5 * count(*) FROM posts) AS content_encoded FROM posts"""),
         "sink_json_raw": statement([POSTS, FLAWED, VALID_FLAWED], f"SELECT id, username, content, {at('timestamp')} AS timestamp, likes, {at('scraped_at')} AS scraped_at FROM valid"),
         "sink_json_report": statement([*UP_TO_SCORED, *trend_blocks(3600)], f"""SELECT count(*) AS total_tweets,
           {r6('avg(primary_signal)')} AS mean_signal, count(*) FILTER (abs(primary_signal) <= 0.1e0) AS neutral_tweets,

@@ -22,7 +22,7 @@ from tickerloom.operators import charts, cleaning, dedup, ranking, signals, summ
 from tickerloom.operators import fitted, subspace
 from tickerloom.operators import textfeatures as tf
 from tickerloom.plans import run
-from tickerloom.sources import feed, readers, writers
+from tickerloom.sources import dictionary, feed, readers, writers
 from tickerloom.staging import new_path, stage
 from tickerloom.streaming import posts as streaming
 
@@ -160,6 +160,16 @@ def narrow_types(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+@query
+def encode_categories(spark: SparkSession, tables: str) -> DataFrame:
+    """Category columns of the posts as dense codes in value order, and the values decoded again; content stays text."""
+    posts = feed.base_posts(spark, tables).select("id", "username", "hashtag_source", "content")
+    encoded, tables_of = dictionary.encode(posts)
+    decoded = dictionary.decode(encoded, tables_of)
+    return encoded.select("id", *[c(f"{n}_code").cast("bigint").alias(f"{n}_code") for n in ("username", "hashtag_source")]).join(
+        decoded.select("id", "username", "hashtag_source", F.lit("content_code" in encoded.columns).alias("content_encoded")), "id")
+
+
 @query
 def sink_json_raw(spark: SparkSession, tables: str) -> DataFrame:
     posts = cleaning.validate_posts(feed.flawed_posts(spark, tables))
