@@ -75,8 +75,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def put_in_place(spark: SparkSession, written: str, path: str) -> None:
-    """Move a finished folder to ``path``, in place of what is there."""
-    remove(spark, path)
-    source, files = _located(spark, written)
-    if not files.rename(source, _located(spark, path)[0]):
+    """Move a finished folder to ``path``, in place of what is there.
+
+    The old folder is first renamed aside and deleted only once the new one is in place, so a crash in between
+    leaves the old table (beside, as ``<path>.replaced-<id>``) or the new one, never neither.
+    """
+    target, files = _located(spark, path)
+    aside = None
+    if files.exists(target):
+        aside = _located(spark, f"{path}.replaced-{uuid.uuid4().hex}")[0]
+        if not files.rename(target, aside):
+            raise OSError(f"could not move {path} aside")
+    source = _located(spark, written)[0]
+    if not files.rename(source, target):
+        if aside is not None:
+            files.rename(aside, target)
         raise OSError(f"could not move {written} to {path}")
+    if aside is not None:
+        files.delete(aside, True)
