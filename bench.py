@@ -24,6 +24,8 @@ HEADLINES = [
     "build_vocabulary",
     "tfidf_momentum",
     "stream_hourly",
+    "full_signals",
+    "stage_metrics",
 ]
 
 
