@@ -209,6 +209,10 @@ def sink_text_summary(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+#: Whole texts as plain json and csv take more disk than all else of a run together.
+EXPORT_CODECS = {"json": "gzip", "csv": "gzip", "parquet": "zstd"}
+
+
 @query
 def export_formats(spark: SparkSession, tables: str) -> DataFrame:
     posts = feed.posts(spark, tables).select(
@@ -216,7 +220,7 @@ def export_formats(spark: SparkSession, tables: str) -> DataFrame:
     )
     back = []
     for fmt in lx.EXPORT_FORMATS:
-        path = writers.export(posts, new_path(spark, fmt), fmt)
+        path = writers.export(posts, new_path(spark, fmt), fmt, EXPORT_CODECS[fmt])
         if fmt == "csv":
             flat = "id string, username string, content string, likes bigint, hashtags string, mentions string"
             read = spark.read.schema(flat).options(**writers.CSV_OPTIONS).csv(path)

@@ -66,8 +66,8 @@ def save_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def export(df: DataFrame, path: str, fmt: str) -> str:
-    """json, parquet or csv. Csv has no lists: they are written comma-joined."""
+def export(df: DataFrame, path: str, fmt: str, compression: str | None = None) -> str:
+    """json, parquet or csv, with the format's own codec. Csv has no lists: they are written comma-joined."""
     if fmt not in lx.EXPORT_FORMATS:
         raise ValueError(f"format {fmt!r} is not one of {lx.EXPORT_FORMATS}")
     writer = df
@@ -79,6 +79,8 @@ def export(df: DataFrame, path: str, fmt: str) -> str:
     else:
         options = {}
     options = {**options, **TIME_OPTIONS}
+    if compression:
+        options["compression"] = compression
     writer.write.mode("overwrite").options(**options).format(fmt).save(path)
     return path
 
