@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom import lexicon as lx
+from tickerloom.functions import batches
 from tickerloom.operators.ranking import influence_score, stratified_sample, top_k
 
 
@@ -84,11 +85,9 @@ def term_frequency(
     dropped, and a plural in -s is counted with its singular where both occur.
     """
     texts = posts.select("content_cleaned").dropna()
-    # "outer": a plain explode filters on the list's size first and so extracts twice.
-    found = F.regexp_extract_all("content_cleaned", F.lit(lx.CLOUD_WORD), F.lit(0))
-    words = texts.select(F.explode_outer(found).alias("word"))
     # Counted as found, so that the rules below look at each distinct word once.
-    raw = words.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+    found = texts.mapInArrow(batches.cloud_counts, "word string, uses bigint")
+    raw = found.groupBy("word").agg(F.sum("uses").alias("uses"))
     bare = raw.select(F.regexp_replace("word", "'s$", "").alias("term"), "uses")
     useful = bare.filter(
         (F.col("term") != "") & ~F.col("term").rlike(r"^\p{Nd}+$") & ~F.col("term").isin(stop_words)
