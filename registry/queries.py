@@ -380,11 +380,7 @@ def attach_global_stats(spark: SparkSession, tables: str) -> DataFrame:
 def vocab_match(spark: SparkSession, tables: str) -> DataFrame:
     words = staged_words(spark, tables)
     vocabulary = tf.build_vocabulary(tf.vocabulary_counts(words))
-    prepared = words.withColumn("terms", tf.with_pairs(c("singles")))
-    matched = tf.vocab_match(prepared, vocabulary)
-    return matched.groupBy("id").agg(
-        F.count(F.lit(1)).alias("matches"), F.count_distinct("term").alias("terms")
-    )
+    return tf.match_counts(tf.vocab_match(words, vocabulary))
 
 
 # --- deduplication and set operations --------------------------------------------

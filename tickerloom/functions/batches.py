@@ -33,6 +33,8 @@ SHORT_WORD = 7
 PADDING = 64
 #: Words that fit the bits of a long.
 MAX_INSIDE = 62
+#: Keys of terms that are looked up in a table of all keys (16 MB), not searched.
+MAX_TABLE = 4 << 20
 _OTHER_BLANKS = lx.BLANKS.replace(r"\x{1C}-\x{20}", r"\x{1C}-\x{1F}")
 #: Runs of blanks other than one plain blank, which needs no replacing.
 BLANK_RUN = f" [{lx.BLANKS}]+|[{_OTHER_BLANKS}][{lx.BLANKS}]*"
@@ -339,7 +341,7 @@ LETTERS = (ASCII_LOWER >= ord("a")) & (ASCII_LOWER <= ord("z"))
 
 @cache
 def _feature_words(stop_words: tuple[str, ...]):
-    kind = pa.struct([("words", pa.int32()), ("singles", pa.list_(pa.string()))])
+    kind = pa.struct([("length", pa.int32()), ("words", pa.int32()), ("singles", pa.list_(pa.string()))])
 
     def part(text: pa.Array) -> pa.Array:
         missing = pc.is_null(text)
@@ -357,9 +359,9 @@ def _feature_words(stop_words: tuple[str, ...]):
         chosen[plain] = useful
         singles_ends = np.concatenate([[0], np.cumsum(chosen)]).astype(np.int32)[firsts]
         singles = pa.ListArray.from_arrays(pa.array(singles_ends), kept.filter(pa.array(useful)))
-        return pa.StructArray.from_arrays([pa.array(np.diff(firsts).astype(np.int32)), singles], fields=list(kind), mask=missing)
+        return pa.StructArray.from_arrays([pc.utf8_length(text), pa.array(np.diff(firsts).astype(np.int32)), singles], fields=list(kind), mask=missing)
 
-    @F.arrow_udf("struct<words int, singles array<string>>")
+    @F.arrow_udf("struct<length int, words int, singles array<string>>")
     def feature_words(text: pa.Array) -> pa.Array:
         return pa.concat_arrays([part(c) if len(c) else pa.array([], kind) for c in chunks(text, BYTES_CHUNK)])
 
@@ -368,14 +370,28 @@ def _feature_words(stop_words: tuple[str, ...]):
 
 def feature_words(cleaned: Column, stop_words: list[str]) -> Column:
     """Of a text's second cleaning: how many ``words`` it has, and its ``singles``, those ASCII words that start with
-    a letter and are no stop words, in order."""
+    a letter and are no stop words, in order; and the ``length`` of the text itself, so that who asks for no more need not have the text back."""
     return _feature_words(tuple(stop_words))(cleaned)
 
 
 def entry_counts(lists: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, corpus_count, doc_count) of each chunk of lists of terms; nulls don't count."""
-    for rows, distinct, codes in _entries(lists):
+    """(term, corpus_count, doc_count) of each chunk of lists of terms; nulls don't count.
+
+    The rows with a second column that is true are counted under the empty term.
+    """
+    counted = 0
+
+    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nonlocal counted
+        for batch in batches:
+            if batch.num_columns > 1:
+                counted += pc.sum(batch.column(1)).as_py() or 0
+            yield batch
+
+    for rows, distinct, codes in _entries(flagged(lists)):
         yield _counted(distinct, rows, codes)
+    if counted:
+        yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([counted]), pa.array([counted])], ["term", "corpus_count", "doc_count"])
 
 
 def pair_counts(known: list[str] | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -444,10 +460,8 @@ def _cloud_words(text: pa.Array) -> pa.Array:
         found[quoted] = False
 
 
-@cache
-def _weighed(terms: tuple[str, ...], weights: tuple[float, ...], paired: bool):
-    from pyspark.ml.linalg import VectorUDT
-
+def _finder(terms: tuple[str, ...], paired: bool) -> Callable[[pa.Array], np.ndarray]:
+    """A function of lists: row of the list times the number of terms, plus the term's place, of every use of a term, in order."""
     size = len(terms)
     split = [t.split(" ") for t in terms]
     words = list(dict.fromkeys(w for t in split for w in t)) if paired else list(terms)
@@ -455,9 +469,22 @@ def _weighed(terms: tuple[str, ...], weights: tuple[float, ...], paired: bool):
     # A single word's place, or that of two words, of a term; sorted for the search.
     keys = np.array([place[t[0]] if len(t) == 1 else (place[t[0]] + 1) * len(words) + place[t[1]] for t in split] if paired else range(size), np.int64)
     order = np.argsort(keys)
-    keys, scale = keys[order], np.array(weights)
-
-    def part(lists: pa.Array) -> pa.Array:
+    keys = keys[order]
+    reach = len(words) * (len(words) + 1) if paired else len(words)
+    in_table, tables = reach <= MAX_TABLE, []
+
+    def terms_at(found: np.ndarray) -> np.ndarray:
+        """The place of each key's term, or -1."""
+        if in_table:
+            # Made where it is used, so that it is not sent along.
+            if not tables:
+                tables.append(np.full(reach, -1, np.int32))
+                tables[0][keys] = order
+            return tables[0][found]
+        at = np.minimum(np.searchsorted(keys, found), size - 1)
+        return np.where(keys[at] == found, order[at], -1)
+
+    def find(lists: pa.Array) -> np.ndarray:
         counts = flags(pc.fill_null(pc.list_value_length(lists), 0))
         rows = np.repeat(np.arange(len(lists), dtype=np.int64), counts)
         codes = pc.fill_null(pc.index_in(lists.flatten(), pa.array(words, pa.string())), -1).to_numpy().astype(np.int64)
@@ -467,10 +494,23 @@ def _weighed(terms: tuple[str, ...], weights: tuple[float, ...], paired: bool):
             met = (rows[:-1] == rows[1:]) & known[:-1] & known[1:]
             found = np.concatenate([found, (codes[:-1][met] + 1) * len(words) + codes[1:][met]])
             of = np.concatenate([of, rows[:-1][met]])
-        at = np.minimum(np.searchsorted(keys, found), max(0, size - 1))
-        hit = keys[at] == found if size else np.zeros(len(found), bool)
-        each = of[hit] * size + order[at[hit]]
+        at = terms_at(found)
+        hit = at >= 0
+        each = of[hit] * size + at[hit]
         each.sort()
+        return each
+
+    return find
+
+
+@cache
+def _weighed(terms: tuple[str, ...], weights: tuple[float, ...], paired: bool):
+    from pyspark.ml.linalg import VectorUDT
+
+    size, scale, find = len(terms), np.array(weights), _finder(terms, paired)
+
+    def part(lists: pa.Array) -> pa.Array:
+        each = find(lists)
         first = np.flatnonzero(np.diff(each, prepend=-1))
         row, term = np.divmod(each[first], max(1, size))
         values = np.diff(first, append=len(each)) * scale[term]
@@ -499,3 +539,44 @@ def weighed(lists: Column, terms: list[str], weights: list[float], paired: bool)
     have one word or two. A null list has no terms.
     """
     return _weighed(tuple(terms), tuple(weights), paired)(lists)
+
+
+@cache
+def _matched(terms: tuple[str, ...], paired: bool):
+    size, find = len(terms), _finder(terms, paired)
+    longs = longs_of(size)
+
+    def part(lists: pa.Array) -> pa.Array:
+        each = find(lists)
+        row, term = np.divmod(each, max(1, size))
+        stored = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))]).astype(np.int32)
+        new = np.diff(each, prepend=-1) != 0
+        target = row[new] * longs + term[new] // MAX_INSIDE
+        first = np.flatnonzero(np.diff(target, prepend=-1))
+        held = np.zeros(len(lists) * longs, np.int64)
+        if len(first):
+            held[target[first]] = np.add.reduceat(1 << term[new] % MAX_INSIDE, first)
+        return pa.StructArray.from_arrays([
+            pa.ListArray.from_arrays(pa.array(stored), pa.array(terms, pa.string()).take(pa.array(term))),
+            pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * longs), pa.array(held)),
+        ], ["terms", "held"])
+
+    @F.arrow_udf("struct<terms array<string>, held array<bigint>>")
+    def matched(lists: pa.Array) -> pa.Array:
+        return pa.concat_arrays([part(c) for c in chunks(lists)])
+
+    return matched
+
+
+def longs_of(size: int) -> int:
+    """How many numbers hold a bit for each of so many terms."""
+    return -(-size // MAX_INSIDE)
+
+
+def matched(lists: Column, terms: list[str], paired: bool) -> Column:
+    """Of each list: ``terms``, those in it that are among the distinct ``terms``, as often as they are in it, in the
+    order of ``terms``; and ``held``, ``longs_of`` numbers with bit i % ``MAX_INSIDE`` of number i // ``MAX_INSIDE`` set if term i is in it.
+
+    ``paired`` is as in ``weighed``.
+    """
+    return _matched(tuple(terms), paired)(lists)

@@ -65,7 +65,7 @@ def with_words(
 ) -> DataFrame:
     """Adds ``text_eligible`` and ``singles``; a text that is too short has none."""
     found = posts.withColumn("_found", batches.feature_words(F.col("content_cleaned"), lx.STOP_WORDS))
-    eligible = (F.length("content_cleaned") >= min_length) & (F.col("_found")["words"] >= min_words)
+    eligible = (F.col("_found")["length"] >= min_length) & (F.col("_found")["words"] >= min_words)
     flagged = found.withColumn("text_eligible", F.coalesce(eligible, F.lit(False)))
     return flagged.withColumn(
         "singles",
@@ -92,10 +92,7 @@ def term_counts(prepared: DataFrame, terms: str = "terms") -> DataFrame:
     counts its own terms, so only distinct terms per batch are shuffled, and a
     term in every text is no hot key.
     """
-    with_count_key = F.when(
-        F.col("text_eligible"), F.array_prepend(terms, F.lit(TEXT_COUNT_KEY))
-    ).otherwise(F.col(terms))
-    return count_entries(prepared.select(with_count_key), batches.entry_counts)
+    return count_entries(prepared.select(terms, "text_eligible"), batches.entry_counts)
 
 
 def count_entries(
@@ -242,9 +239,31 @@ def term_weights(with_features: DataFrame, model: TermModel) -> DataFrame:
 
 
 def vocab_match(prepared: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Terms of each text that are in the vocabulary (at most ``max_terms`` rows)."""
-    terms = prepared.select("id", F.explode_outer("terms").alias("term"))
-    return terms.join(F.broadcast(vocabulary.select("term")), "term")
+    """(id, terms, held) of each text, by the vocabulary (at most ``max_terms`` rows, which are collected).
+
+    ``terms`` are those of the text's ``terms``, or else of its ``singles`` and their pairs, that are in the vocabulary, one
+    entry per use. ``held`` has a bit for each term of the vocabulary (see ``batches.matched``), so that terms can be
+    counted without a row for each. A text stays one row, and nothing is shuffled.
+    """
+    known = [r.term for r in vocabulary.select("term").collect()]
+    paired = "terms" not in prepared.columns
+    found = batches.matched(F.col("singles" if paired else "terms"), known, paired)
+    return prepared.select("id", found.alias("_found")).select("id", "_found.terms", "_found.held")
+
+
+def match_counts(matched: DataFrame, size: int = lx.MAX_TERMS) -> DataFrame:
+    """Uses and different terms per id with any, of what ``vocab_match`` returned for a vocabulary of at most ``size`` terms.
+
+    The terms of an id are one bit each of a fixed number of longs, so a post is one row of the shuffle and an id that
+    repeats, or is null, no long list. Ids without terms go last: a filter on the kernel's output would run it twice.
+    """
+    bits = {f"_held{i}": F.bit_or(F.get("held", F.lit(i))) for i in range(batches.longs_of(size))}
+    counts = matched.groupBy("id").agg(
+        F.coalesce(F.sum(F.size("terms").cast("bigint")), F.lit(0).cast("bigint")).alias("matches"),
+        *[bit.alias(name) for name, bit in bits.items()],
+    )
+    terms = sum((F.coalesce(F.bit_count(name), F.lit(0)) for name in bits), F.lit(0))
+    return counts.filter(F.col("matches") > 0).select("id", "matches", terms.cast("bigint").alias("terms"))
 
 
 @dataclass(frozen=True)
