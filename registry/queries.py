@@ -648,7 +648,7 @@ def list_length(spark: SparkSession, tables: str) -> DataFrame:
 
 @per_text
 def market_relevance(text: Column) -> dict[str, Column]:
-    return {"has_market_keywords": tx.has_any_term(tx.tokens(text))}
+    return {"has_market_keywords": tx.has_any_term(tx.terms_held(text))}
 
 
 @query
@@ -662,11 +662,10 @@ def lexicon_match(spark: SparkSession, tables: str) -> DataFrame:
     return matched.groupBy("term").agg(F.count(F.lit(1)).alias("posts"))
 
 
-@per_text
-def keyword_intersection(text: Column) -> dict[str, Column]:
-    terms = F.array(*[F.lit(t) for t in lx.MARKET_TERMS])
-    both = F.array_sort(F.array_intersect(tx.tokens(text), terms))
-    return {"common": F.array_join(both, ","), "any_common": tx.has_any_term(tx.tokens(text))}
+@query
+def keyword_intersection(spark: SparkSession, tables: str) -> DataFrame:
+    found = cleaned(spark, tables).select("id", tx.terms_held(c("content_cleaned")).alias("both"))
+    return found.select("id", F.array_join("both", ",").alias("common"), tx.has_any_term(c("both")).alias("any_common"))
 
 
 @per_text
@@ -696,7 +695,7 @@ def neutral_terms(text: Column) -> dict[str, Column]:
 
 @per_text
 def india_terms(text: Column) -> dict[str, Column]:
-    return {"has_india_terms": tx.has_any_term(tx.tokens(text), lx.INDIA_TERMS)}
+    return {"has_india_terms": tx.has_any_term(tx.terms_held(text, lx.INDIA_TERMS), lx.INDIA_TERMS)}
 
 
 @per_post

@@ -1,10 +1,12 @@
-"""Terms found in texts by kernels: the vocabulary's."""
+"""Terms found in texts by kernels: the vocabulary's, and whole words of a list."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from registry import queries
+from tickerloom import lexicon as lx
 from tickerloom.functions import batches
+from tickerloom.functions import text as tx
 from tickerloom.operators import textfeatures as tf
 
 TEXTS = [
@@ -45,6 +47,23 @@ def test_vocab_match_makes_no_row_per_term(spark, tables):
     assert "Generate" not in found and "Join" not in found and found.count("ArrowEvalPython") == 1
 
 
+def test_words_of_a_list(spark):
+    texts = ["", "buy", "buybuy sell", "sell buy sell market", "market, buy.", " buy", "profit  loss ", None, "中buy nifty", "e stock é"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    terms = F.array(*[F.lit(t) for t in lx.MARKET_TERMS])
+    want = F.array_sort(F.array_intersect(tx.tokens(F.col("t")), terms))
+    for row in df.select(tx.terms_held(F.col("t")).alias("got"), want.alias("want")).collect():
+        assert row.got == row.want
+    with pytest.raises(ValueError):
+        batches.words_held(F.col("t"), ["two words"])
+
+
+def test_texts_of_word_lists_stay_in_python(spark, tables):
+    for name in ("keyword_intersection", "market_relevance", "india_terms"):
+        found = plan(queries.QUERIES[name](spark, tables))
+        assert "split(" not in found and found.count("ArrowEvalPython") == 1 and found.count("cleaned(") == 1
+
+
 def test_a_text_is_cleaned_once_for_its_words(spark, tables):
     words = tf.with_words(queries.cleaned(spark, tables)).select("id", "singles", "text_eligible")
     assert plan(words).count("cleaned(") == 1

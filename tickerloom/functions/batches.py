@@ -232,12 +232,8 @@ def tagged(text: Column, sign: str) -> Column:
     return _tagged(sign)(text)
 
 
-@cache
-def _marks(counted: tuple[tuple[str, ...], ...], inside: tuple[str, ...], phrases: tuple[tuple[str, ...], ...]):
-    names = ["words", *[f"count{i}" for i in range(len(counted))], *[f"phrases{i}" for i in range(len(phrases))], "inside"]
-    kind = pa.struct([*[(n, pa.int32()) for n in names[:-1]], ("inside", pa.int64())])
-    flat = [p for group in phrases for p in group]
-    sought = sorted({*inside, *flat, *[t for terms in counted for t in terms if " " not in t]})
+def _seeker(sought: list[str]) -> Callable[[np.ndarray], dict[str, np.ndarray]]:
+    """A function of bytes: where each of the sought words, of at least two bytes each, starts; ``among`` these places, if given."""
     pairs = {pair: i for i, pair in enumerate(dict.fromkeys(w.encode()[:2] for w in sought))}
     pair_of = np.full(1 << 16, len(pairs), np.min_scalar_type(len(pairs)))
     third = np.zeros((len(pairs), 256), bool)
@@ -246,12 +242,17 @@ def _marks(counted: tuple[tuple[str, ...], ...], inside: tuple[str, ...], phrase
     for word in map(str.encode, sought):
         third[pairs[word[:2]], slice(None) if len(word) == 2 else word[2]] = True
 
-    def places(data: np.ndarray) -> dict[str, np.ndarray]:
-        """Where each of the sought words starts."""
-        pair = pair_of[data[:-PADDING].astype(np.uint16) | data[1:1 - PADDING].astype(np.uint16) << np.uint16(8)]
-        at = np.flatnonzero(pair != len(pairs))
-        at = at[third[pair[at], data[at + 2]]]
-        kinds = pair[at]
+    def places(data: np.ndarray, among: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        if among is None:
+            pair = pair_of[data[:-PADDING].astype(np.uint16) | data[1:1 - PADDING].astype(np.uint16) << np.uint16(8)]
+            at = np.flatnonzero(pair != len(pairs))
+            kinds = pair[at]
+        else:
+            pair = pair_of[data[among].astype(np.uint16) | data[among + 1].astype(np.uint16) << np.uint16(8)]
+            possible = pair != len(pairs)
+            at, kinds = among[possible], pair[possible]
+        possible = third[kinds, data[at + 2]]
+        at, kinds = at[possible], kinds[possible]
         order = np.argsort(kinds, kind="stable")
         at, bounds = at[order], np.searchsorted(kinds[order], np.arange(len(pairs) + 1))
         found = {}
@@ -264,6 +265,17 @@ def _marks(counted: tuple[tuple[str, ...], ...], inside: tuple[str, ...], phrase
             found[word] = own
         return found
 
+    return places
+
+
+@cache
+def _marks(counted: tuple[tuple[str, ...], ...], inside: tuple[str, ...], phrases: tuple[tuple[str, ...], ...]):
+    names = ["words", *[f"count{i}" for i in range(len(counted))], *[f"phrases{i}" for i in range(len(phrases))], "inside"]
+    kind = pa.struct([*[(n, pa.int32()) for n in names[:-1]], ("inside", pa.int64())])
+    flat = [p for group in phrases for p in group]
+    sought = sorted({*inside, *flat, *[t for terms in counted for t in terms if " " not in t]})
+    places = _seeker(sought)
+
     def bounded(data: np.ndarray, begins: np.ndarray, length: int) -> np.ndarray:
         """Whether no word character is in front of or behind a piece."""
         table = members(lx.WORD)
@@ -333,6 +345,38 @@ def marks(cleaned: Column, counted: list[list[str]], inside: list[str], phrases:
     return _marks(tuple(map(tuple, counted)), tuple(inside), tuple(map(tuple, phrases)))(made_once(cleaned))
 
 
+@cache
+def _words_held(words: tuple[str, ...]):
+    places = _seeker(list(words))
+
+    def part(text: pa.Array) -> pa.Array:
+        data, starts = laid_out(pc.fill_null(text, ""), " ")
+        held = np.zeros((len(text), len(words)), bool)
+        firsts = np.flatnonzero(data[:-PADDING] == 32) + 1
+        for i, begins in enumerate(places(data, firsts).values()):
+            whole = begins[data[begins + len(words[i])] == 32]
+            held[np.searchsorted(starts, whole, "right") - 1, i] = True
+        ends = np.concatenate([[0], np.cumsum(held.sum(axis=1))]).astype(np.int32)
+        found = pa.array(words, pa.string()).take(pa.array(np.nonzero(held)[1]))
+        return pa.ListArray.from_arrays(pa.array(ends), found, mask=pc.is_null(text))
+
+    @F.arrow_udf("array<string>")
+    def words_held(text: pa.Array) -> pa.Array:
+        return pa.concat_arrays([part(c) if len(c) else pa.array([], pa.list_(pa.string())) for c in chunks(text, BYTES_CHUNK)])
+
+    return words_held
+
+
+def words_held(cleaned: Column, words: list[str]) -> Column:
+    """Which of the words, of two or more ASCII letters each, are among the words of a single-spaced text, in alphabetical order.
+
+    On a cleaning alone the text goes to Python once and only the words come back, so this is for those who don't need the text itself.
+    """
+    if not all(w.isascii() and w.isalpha() and len(w) > 1 for w in words):
+        raise ValueError("words of at least two letters, and of ASCII letters only")
+    return _words_held(tuple(sorted(set(words))))(cleaned)
+
+
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[ord("A"):ord("Z") + 1] += 32
 NOT_PLAIN = ((ASCII_LOWER == ord("_")) | (ASCII_LOWER >= 128)).view(np.uint8)

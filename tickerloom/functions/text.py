@@ -52,6 +52,11 @@ def has_any_term(words: Column, terms: list[str] = lx.MARKET_TERMS) -> Column:
     return F.arrays_overlap(words, F.array(*[F.lit(t) for t in terms]))
 
 
+def terms_held(cleaned: Column, terms: list[str] = lx.MARKET_TERMS) -> Column:
+    """The terms that some word equals (whole words only), each once, in alphabetical order."""
+    return batches.words_held(cleaned, terms)
+
+
 def basic_sentiment(
     words: Column,
     positive: list[str] = lx.POSITIVE_TERMS,
