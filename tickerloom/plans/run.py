@@ -66,13 +66,11 @@ def scored_posts(
 
 
 def scored_posts_with_topics(
-    posts: DataFrame, as_of: Column, restarts: int = lx.CLUSTER_RESTARTS
+    posts: DataFrame, as_of: Column, restarts: int = lx.CLUSTER_RESTARTS, keep_text: bool = False
 ) -> DataFrame:
     """Posts with composite signal and label, text features included."""
-    wide = lexicon_scored(posts, as_of)
-    lean = wide.select(*LEAN_COLUMNS, "content", "content_cleaned")
-    featured = tf.tfidf_signals(stage(lean, "scored"), restarts)
-    return signals.composite_signals(stage(featured, "topics"))
+    lean = [*LEAN_COLUMNS, "content", "content_cleaned"] if keep_text else LEAN_COLUMNS
+    return signals.composite_signals(tf.tfidf_signals(lexicon_scored(posts, as_of), restarts, keep=lean))
 
 
 @dataclass
@@ -134,7 +132,7 @@ def _run(feed: DataFrame, as_of: Column, out: str, sources: list[str] | None, re
 
         kept = feed.sparkSession.read.schema(wide.schema).parquet(processed_path)
         lean = kept.select(*LEAN_COLUMNS, "content", "content_cleaned")
-        final = signals.composite_signals(stage(tf.tfidf_signals(lean), "topics"))
+        final = signals.composite_signals(tf.tfidf_signals(lean))
         scored_count = Observation("scored")
         signals_path = f"{out}/signals"
         final.observe(scored_count, rows).write.mode("overwrite").parquet(signals_path)
