@@ -35,3 +35,24 @@ def test_smallest_survives_across_batches(spark):
     assert ("h3", "t", 1) in emitted  # closed by its timer before h3 came again
     assert still_open == {("h4", "late", 2), ("h3", "h3again", 0)}
     assert not emitted & still_open
+
+
+def test_rows_of_a_key_are_no_frames_and_keep_missing_values(spark):
+    """A frame per key costs far more than its state; windows that are over on arrival close at once; nulls among numbers."""
+    batches = [
+        [("a", "k", 5, None, at(0)), ("b", "k", 4, 7, at(1)), ("m", "gone", 1, 1, at(2))],
+        [("z", "w", 1, None, at(200))],
+        # admitted (the last batch's watermark was lower), but the window was over before it came
+        [("old", "x", 3, None, at(30)), ("p", None, None, 2, None), ("k2", "k", 9, 1, at(210))],
+    ]
+    root = new_path(spark, "state-rows")
+    for number, rows in enumerate(batches):
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.parquet(f"{root}/in/part-{number}")
+    kept = streaming.stream_keep_smallest(streaming.stream_posts(spark, f"{root}/in/*", columns=spark.createDataFrame([], ROWS).schema, max_files=1))
+    plan = kept._jdf.queryExecution().logical().toString()
+    assert "TransformWithStateInPySpark" in plan and "TransformWithStateInPandas" not in plan
+    streaming.start_with_state_store(kept, f"{root}/out", f"{root}/state").awaitTermination()
+    emitted = {(r.hash, r.id, r.feed_pos, r.likes, r.timestamp) for r in spark.read.parquet(f"{root}/out").collect()}
+    still_open = {(r.hash, r.id, r.feed_pos, r.likes, r.timestamp) for r in streaming.open_rows(spark, f"{root}/state").collect()}
+    assert emitted == {("k", "b", 4, 7, at(1)), ("gone", "m", 1, 1, at(2)), ("x", "old", 3, None, at(30))}
+    assert still_open == {("w", "z", 1, None, at(200)), ("k", "k2", 9, 1, at(210)), (None, "p", None, 2, None)}
